@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, chat, htmltext, langid, matroska, packing, toxicity, url_filter
+from strandline.llm import bpe, chat, dartminhash, htmltext, langid, matroska, packing, topk, toxicity, url_filter
 from strandline.llm.common import fold, table
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     model, bayes = url_filter.fit(pages)
@@ -68,6 +72,11 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return topk.search(topk.build(docs), docs.where("doc_id % 20 = 0"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -76,6 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_dart_minhash": op1_dart_minhash,
         "op2_url_filter": op2_url_filter,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_matroska": op4_matroska,
@@ -83,6 +93,7 @@ def queries() -> dict:
         "op6_language_id": op6_language_id,
         "op7_chat_format": op7_chat_format,
         "op8_html_text": op8_html_text,
+        "op9_bm25_topk": op9_bm25_topk,
         "op10_toxicity": op10_toxicity,
     }
 
