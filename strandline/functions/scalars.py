@@ -31,7 +31,7 @@ def blank_to_default(s: Column, default: str) -> Column:
 
 def csv_items(s: Column) -> Column:
     """Items between commas, trimmed, without blank ones."""
-    return F.filter(F.transform(F.split(s, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(s, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def composite_key(*parts: Column, sep: str = "__") -> Column:

@@ -99,10 +99,9 @@ def unit_table(spark: SparkSession) -> DataFrame:
 
 def convert_units(rows: DataFrame, code: str, unit: str, target: str, value: str, drop_zero: bool = True) -> DataFrame:
     """Adds ``converted``. Rows without a conversion go; so do zeros, before and (for a true conversion) after it, unless ``drop_zero`` is off."""
-    table = F.broadcast(unit_table(rows.sparkSession))
-    joined = rows.join(table, (F.col(code) == table["source_code"]) & (F.col(unit) == table["source_unit"]) & (F.col(target) == table["target"]))
-    kept = [F.col(c) for c in rows.columns if c != "target"] + ([rows["target"]] if "target" in rows.columns else [])
-    out = joined.select(*kept, converted(F.col(value), F.col("operation"), F.col("factor")).alias("converted"))
+    table = F.broadcast(unit_table(rows.sparkSession).withColumnRenamed("target", "_target"))
+    joined = rows.join(table, (F.col(code) == F.col("source_code")) & (F.col(unit) == F.col("source_unit")) & (F.col(target) == F.col("_target")))
+    out = joined.select(*rows.columns, converted(F.col(value), F.col("operation"), F.col("factor")).alias("converted"))
     return out.where((F.col(value) != 0) & (F.col("converted") != 0)) if drop_zero else out
 
 

@@ -2,10 +2,459 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandline.functions import scalars, vocab
+from strandline.operators import accounts, deletion, delivery, nudges, observation, questionnaire, snapshots
+from strandline.plans import standins as S
+from strandline.plans.standins import ANSWERS_SQL, BACKLOG_SQL, HISTORY_SQL, USERS_SQL, now, stamp
+from strandline.sources.readers import table
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+NOW_SQL = "TIMESTAMP '2024-03-07 08:00:00'"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# --- scores ---
+
+CATEGORY_OF_LINE = {str(i): c for i, c in enumerate(vocab.DIET_QUESTIONS, 1)}
+_SUMS = ", ".join(f"CAST(coalesce(count(*) FILTER (WHERE yes AND link = {i}), 0) AS BIGINT) AS {c}" for i, c in CATEGORY_OF_LINE.items())
+
+
+def _diet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("response_id"))
+    return questionnaire.diet_score(responses, questionnaire.unique_leaves(S.answers(spark, sf_dir), ("response_id",)), categories=CATEGORY_OF_LINE)
+
+
+_DIET_SQL = f"""diet AS (
+  SELECT o_orderkey AS response_id, CAST(count(*) FILTER (WHERE yes) AS BIGINT) AS total_points, {_SUMS}
+  FROM orders LEFT JOIN answers ON o_orderkey = response_id GROUP BY o_orderkey
+)"""
+
+
+@query(f"WITH {ANSWERS_SQL}, {_DIET_SQL} SELECT * FROM diet")
+def diet_score(spark, sf_dir):
+    return _diet(spark, sf_dir)
+
+
+@query(f"WITH {ANSWERS_SQL} SELECT response_id, count(*) AS n_answered, CAST(sum(points) AS BIGINT) AS total_points FROM answers GROUP BY 1 HAVING count(*) >= 5")
+def who5_score(spark, sf_dir):
+    return questionnaire.who5_score(questionnaire.unique_leaves(S.answers(spark, sf_dir), ("response_id",)), points=F.col("points"))
+
+
+PRIORITY_SCORE = {"1-URGENT": 4, "2-HIGH": 3, "3-MEDIUM": 2, "4-NOT SPECIFIED": 1}
+
+
+@query("SELECT * FROM (SELECT o_orderkey AS response_id, CASE o_orderpriority WHEN '1-URGENT' THEN 4 WHEN '2-HIGH' THEN 3 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 1 END AS score FROM orders) WHERE score IS NOT NULL")
+def nicotine_score(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("response_id"), "o_orderpriority")
+    return questionnaire.nicotine_score(rows, F.col("o_orderpriority"), PRIORITY_SCORE).select("response_id", "score")
+
+
+@query("""
+SELECT p_partkey AS id, coalesce(CASE WHEN p_partkey % 5 = 0 THEN p_retailprice END, CASE WHEN p_partkey % 5 = 1 THEN CAST(p_size AS DOUBLE) END,
+  TRY_CAST(nullif(regexp_extract(CASE WHEN p_partkey % 3 = 0 THEN p_size || ' mg/dL' ELSE p_name END, '^\\s*([+-]?(?:\\d+\\.?\\d*|\\.\\d+))', 1), '') AS DOUBLE)) AS value
+FROM part
+""")
+def ldl_parse(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    text = F.when(k % 3 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" mg/dL"))).otherwise(F.col("p_name"))
+    value = questionnaire.ldl_value(F.when(k % 5 == 0, F.col("p_retailprice")), F.when(k % 5 == 1, F.col("p_size").cast("double")), F.lit(None).cast("double"), text)
+    return p.select(k.alias("id"), value.alias("value"))
+
+
+@query(f"""WITH {ANSWERS_SQL}, w AS (SELECT response_id FROM answers GROUP BY 1 HAVING count(*) >= 5)
+SELECT o_orderkey AS response_id, (o_orderpriority <> '5-LOW' OR o_orderkey IN (SELECT response_id FROM w)) AS handled FROM orders""")
+def any_handled(spark, sf_dir):
+    responses = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("response_id"))
+    done = questionnaire.run_handlers({"who5": who5_score(spark, sf_dir).withColumnRenamed("total_points", "value"), "nicotine": nicotine_score(spark, sf_dir).withColumnRenamed("score", "value")})
+    return questionnaire.any_handled(responses, done.select("response_id", F.lit(True).alias("handled")))
+
+
+@query("""
+WITH n AS (SELECT l_orderkey, l_linenumber, count(*) AS n, min(l_linestatus) AS s FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey AS response_id, CAST(l_linenumber AS VARCHAR) AS link_id, s = 'O' AS value_boolean FROM n WHERE n = 1 AND l_linenumber < 7
+UNION ALL
+SELECT l_orderkey, 'nested-7', s = 'O' FROM n WHERE n = 1 AND l_linenumber = 7
+""")
+def leaf_items(spark, sf_dir):
+    """Responses built as nested JSON and flattened again: line 7 lies two levels down, and a link that occurs twice counts as unanswered."""
+    line = table(spark, sf_dir, "lineitem")
+    answer = F.array(F.struct((F.col("l_linestatus") == "O").alias("valueBoolean")))
+    flat = F.to_json(F.struct(F.col("l_linenumber").cast("string").alias("linkId"), answer.alias("answer"), F.expr("CAST(array() AS array<string>)").alias("item")))
+    deep = F.to_json(F.struct(F.lit("group").alias("linkId"), F.array(F.struct(F.lit("inner").alias("linkId"), F.array(F.struct(F.lit("nested-7").alias("linkId"), answer.alias("answer"))).alias("item"))).alias("item")))
+    built = line.select("l_orderkey", F.when(F.col("l_linenumber") == 7, deep).otherwise(flat).alias("j")).groupBy(F.col("l_orderkey").alias("id")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("item_json"))
+    items = questionnaire.flatten_items(built.withColumn("user_id", F.lit("u")), depth=4)
+    rows = questionnaire.answers(items)
+    return questionnaire.unique_leaves(rows, ("response_id",)).select("response_id", "link_id", "value_boolean")
+
+
+@query(f"""WITH {ANSWERS_SQL}, {_DIET_SQL}
+SELECT sha256('diet|' || (response_id % 100) || '|' || response_id) AS id, 'final' AS status, 'user/' || (response_id % 100) AS subject, 'diet' AS code, '{vocab.UCUM}' AS unit_system, '{{count}}' AS unit_code,
+  CAST(total_points AS DOUBLE) AS value, 'QuestionnaireResponse/' || response_id AS derived_from, 'UTC' AS extension FROM diet""")
+def score_to_observation(spark, sf_dir):
+    scores = _diet(spark, sf_dir).withColumns({"user_id": F.col("response_id") % 100, "date": now()})
+    config = observation.ScoreConfig("diet", "Diet score", "urn:scores")
+    rows = observation.score_to_observation(scores, config, now(), {"urn:zone": "UTC"}, value="total_points")
+    return rows.select(
+        "id", "status", F.col("subject.reference").alias("subject"), F.col("code.coding")[0]["code"].alias("code"), F.col("valueQuantity.system").alias("unit_system"), F.col("valueQuantity.code").alias("unit_code"),
+        F.col("valueQuantity.value").alias("value"), F.col("derivedFrom")[0]["reference"].alias("derived_from"), F.col("extension")[0]["valueString"].alias("extension"),
+    )
+
+
+# --- planning ---
+
+_REASON_SQL = """CASE WHEN step <> 'finalStep' THEN 'onboarding' WHEN grp = 0 THEN 'missing_group' WHEN zone IS NULL THEN 'missing_zone_or_enrollment' WHEN disabled THEN 'disabled'
+  WHEN withdrawn THEN 'withdrawn' WHEN NOT opted THEN 'not_opted_in' ELSE 'eligible' END"""
+_DAYS_SQL = f"CAST(floor(epoch_us({NOW_SQL} - enrolled) / 86400000000) AS BIGINT)"
+_ARM_SQL = f"""CASE WHEN manual THEN 'generated' WHEN grp = 1 AND {_DAYS_SQL} = 7 THEN 'predefined' WHEN grp = 1 AND {_DAYS_SQL} = 14 THEN 'generated'
+  WHEN grp = 2 AND {_DAYS_SQL} = 7 THEN 'generated' WHEN grp = 2 AND {_DAYS_SQL} = 14 THEN 'predefined' END"""
+_POST_SQL = f"""CASE WHEN NOT coalesce(extended, false) THEN 'opted_out' WHEN step <> 'finalStep' THEN 'onboarding' WHEN disabled THEN 'disabled' WHEN withdrawn THEN 'withdrawn'
+  WHEN NOT opted THEN 'not_opted_in' WHEN zone IS NULL THEN 'missing_zone_or_enrollment' WHEN {_DAYS_SQL} < 21 THEN 'too_early' WHEN active < {NOW_SQL} - INTERVAL 14 DAY THEN 'inactive' ELSE 'eligible' END"""
+_TODAY_SQL = f"CAST(timezone(zone, timezone('UTC', {NOW_SQL})) AS DATE)"
+_AT = lambda day: f"timezone('UTC', timezone(zone, {_TODAY_SQL} + CAST({day} AS INTEGER) + wall))"
+
+
+@query(f"WITH {USERS_SQL} SELECT {_REASON_SQL} AS reason, count(*) AS n FROM users GROUP BY 1")
+def eligibility_reason(spark, sf_dir):
+    return nudges.reason_counts(S.users(spark, sf_dir), nudges.trial_reason())
+
+
+@query(f"WITH {USERS_SQL} SELECT user_id, {_DAYS_SQL} AS days, {_ARM_SQL} AS arm FROM users WHERE {_ARM_SQL} IS NOT NULL")
+def arm_assignment(spark, sf_dir):
+    days = scalars.elapsed_days(F.col("dateOfEnrollment"), now())
+    return S.users(spark, sf_dir).select("user_id", days.alias("days"), nudges.trial_arm(F.col("participantGroup"), days, F.col("triggerNudgeGeneration")).alias("arm")).where("arm is not null")
+
+
+@query(f"""WITH {USERS_SQL} SELECT user_id, d AS day, 'title ' || d AS title, strftime({_AT("d")}, '%Y-%m-%d %H:%M:%S') AS at, {_ARM_SQL} = 'generated' AND user_id % 4 <> 0 AS generated,
+  CASE WHEN d = 0 THEN 'prompt' END AS prompt
+FROM users, (SELECT unnest(range(7)) AS d) WHERE {_REASON_SQL} = 'eligible' AND {_ARM_SQL} IS NOT NULL""")
+def nudge_schedule(spark, sf_dir):
+    people = S.users(spark, sf_dir)
+    texts = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.struct(F.concat(F.lit("title "), i.cast("string")).alias("title"), F.lit("body").alias("body")))
+    made = people.select("user_id", F.when(F.col("user_id") % 4 != 0, texts).alias("messages"))
+    chosen = people.where(nudges.trial_reason() == "eligible")
+    arm = nudges.trial_arm(F.col("participantGroup"), scalars.elapsed_days(F.col("dateOfEnrollment"), now()), F.col("triggerNudgeGeneration"))
+    rows = chosen.withColumn("arm", arm).where("arm is not null").join(made, "user_id", "left")
+    own = (F.col("arm") == "generated") & F.col("messages").isNotNull()
+    plan = nudges.schedule(rows.withColumn("m", F.when(own, F.col("messages")).otherwise(texts)), F.col("m"), now(), "trial", own, {"prompt": F.lit("prompt")})
+    return plan.select("user_id", F.col("day").cast("long").alias("day"), "title", stamp(F.col("timestamp")).alias("at"), F.col("isLLMGenerated").alias("generated"), "prompt")
+
+
+_NEXT_SQL = f"CASE WHEN {_AT(0)} <= {NOW_SQL} THEN {_AT(1)} ELSE {_AT(0)} END"
+
+
+@query(f"WITH {USERS_SQL} SELECT user_id, strftime({_NEXT_SQL}, '%Y-%m-%d %H:%M:%S') AS at, CAST({_TODAY_SQL} AS VARCHAR) AS today FROM users WHERE zone IS NOT NULL")
+def next_occurrence(spark, sf_dir):
+    clock = scalars.blank_to_default(F.col("preferredNotificationTime"), "09:00")
+    return S.users(spark, sf_dir).where("timeZone is not null").select("user_id", stamp(scalars.next_occurrence(now(), clock, F.col("timeZone"))).alias("at"), scalars.local_date(now(), F.col("timeZone")).cast("string").alias("today"))
+
+
+@query(f"WITH {USERS_SQL} SELECT {_POST_SQL} AS reason, count(*) AS n FROM users GROUP BY 1")
+def posttrial_eligible(spark, sf_dir):
+    return nudges.reason_counts(S.users(spark, sf_dir), nudges.posttrial_reason(now()))
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, t AS (SELECT user_id, zone, {_NEXT_SQL} AS target FROM users WHERE {_POST_SQL} = 'eligible'),
+q AS (SELECT DISTINCT t.user_id, CAST(timezone(t.zone, timezone('UTC', b.ts)) AS DATE) AS day FROM backlog b JOIN t USING (user_id) WHERE category = 'posttrial')
+SELECT user_id, strftime(target, '%Y-%m-%d %H:%M:%S') AS at FROM t WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.user_id = t.user_id AND q.day = CAST(timezone(zone, timezone('UTC', target)) AS DATE))""")
+def posttrial_dedup(spark, sf_dir):
+    targets = nudges.posttrial_targets(S.users(spark, sf_dir), now())
+    return nudges.without_same_local_day(targets, S.backlog(spark, sf_dir), "posttrial").select("user_id", stamp(F.col("target")).alias("at"))
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, {HISTORY_SQL},
+h AS (SELECT * FROM (SELECT user_id, id, ts, body, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, id) AS r FROM history WHERE category = 'posttrial') WHERE r <= 9),
+v AS (SELECT user_id, id, ts, body, 0 AS p FROM h UNION ALL SELECT user_id, id, ts, body, 1 FROM backlog WHERE category = 'posttrial'),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, id ORDER BY p) AS k FROM v WHERE ts < {NOW_SQL}) WHERE k = 1),
+l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, p, id) AS r FROM u)
+SELECT user_id, string_agg(body, '|' ORDER BY r DESC) AS bodies FROM l WHERE r <= 3 GROUP BY user_id""")
+def recent_bodies(spark, sf_dir):
+    before = S.users(spark, sf_dir).select("user_id", now().alias("before"))
+    return nudges.recent_bodies(S.backlog(spark, sf_dir), S.history(spark, sf_dir), before, "posttrial").select("user_id", F.array_join("bodies", "|").alias("bodies"))
+
+
+@query("""WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations WHERE turn < 5)
+SELECT conv_id, string_agg(coalesce(text, ''), '|' ORDER BY r DESC) AS texts FROM t WHERE r <= 3 GROUP BY conv_id""")
+def last_turns(spark, sf_dir):
+    """The last three turns before the fifth, oldest first."""
+    turns = table(spark, sf_dir, "conversations").where("turn < 5")
+    top = F.slice(F.sort_array(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))), asc=False), 1, 3)
+    return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.reverse(top), lambda x: x["text"]), "|").alias("texts"))
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, p AS (SELECT user_id, min({_NEXT_SQL}) AS target FROM users WHERE {_POST_SQL} = 'eligible' GROUP BY user_id)
+SELECT user_id, strftime(target - INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS at, 'Welcome' AS title FROM p""")
+def welcome_rows(spark, sf_dir):
+    targets = nudges.posttrial_targets(S.users(spark, sf_dir), now())
+    return nudges.welcome_rows(targets, "Welcome", "back").select("user_id", stamp(F.col("timestamp")).alias("at"), "title")
+
+
+AVAILABLE = ("other", "AUTOMOBILE", "BUILDING", "FURNITURE")
+
+
+@query("""WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN '' WHEN c_custkey % 6 = 1 THEN 'other' WHEN c_custkey % 6 = 2 THEN ' other , ' || c_mktsegment
+    WHEN c_custkey % 6 = 3 THEN 'AUTOMOBILE,BUILDING,FURNITURE,other' ELSE c_mktsegment || ', ,' END AS s FROM customer),
+a AS (SELECT *, list_filter(list_transform(string_split(s, ','), lambda x: trim(x)), lambda x: x <> '') AS items FROM t),
+b AS (SELECT *, list_filter(items, lambda x: x <> 'other') AS sel, list_filter(['AUTOMOBILE', 'BUILDING', 'FURNITURE'], lambda x: NOT list_contains(items, x)) AS rest FROM a)
+SELECT c_custkey AS user_id, CASE WHEN s = '' THEN 'none' WHEN NOT list_contains(items, 'other') THEN 'listed' WHEN len(sel) = 0 THEN 'other_only' WHEN len(rest) > 0 THEN 'other_more' ELSE 'other_all' END AS kind,
+  CASE WHEN len(sel) > 0 THEN array_to_string(sel, ', ') ELSE 'various activities' END AS selected, array_to_string(rest, ', ') AS others FROM b""")
+def workout_context(spark, sf_dir):
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    text = F.when(k % 6 == 0, "").when(k % 6 == 1, "other").when(k % 6 == 2, F.concat(F.lit(" other , "), seg)).when(k % 6 == 3, "AUTOMOBILE,BUILDING,FURNITURE,other").otherwise(F.concat(seg, F.lit(", ,")))
+    rows = table(spark, sf_dir, "customer").select(k.alias("user_id"), text.alias("s"))
+    return rows.select("user_id", nudges.workout_context(F.col("s"), AVAILABLE).alias("w")).select("user_id", "w.*")
+
+
+# --- delivery ---
+
+_DUE_SQL = f"due AS (SELECT b.*, u.token FROM backlog b JOIN users u USING (user_id) WHERE zone IS NOT NULL AND NOT disabled AND NOT withdrawn AND ts <= {NOW_SQL})"
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, {_DUE_SQL}
+SELECT user_id, id, CASE WHEN coalesce(token, '') <> '' AND id % 10 <> 0 THEN 'sent' ELSE 'failed' END AS status,
+  CASE WHEN coalesce(token, '') = '' THEN 'no token' WHEN id % 10 = 0 THEN 'refused' END AS error, strftime(ts, '%Y-%m-%d %H:%M:%S') AS original, generated FROM due""")
+def due_delivery(spark, sf_dir):
+    ready = delivery.due(S.backlog(spark, sf_dir), S.users(spark, sf_dir), now())
+    outcome = ready.select("user_id", "id", (F.col("id") % 10 != 0).alias("ok"), F.lit("refused").alias("error"))
+    done = delivery.archived(ready, now(), outcome)
+    return done.select("user_id", "id", "status", F.col("errorMessage").alias("error"), stamp(F.col("originalTimestamp")).alias("original"), F.col("isLLMGenerated").alias("generated"))
+
+
+@query(f"WITH {USERS_SQL}, {BACKLOG_SQL}, {_DUE_SQL} SELECT user_id, id, category FROM backlog WHERE id NOT IN (SELECT id FROM due)")
+def backlog_remaining(spark, sf_dir):
+    rows = S.backlog(spark, sf_dir)
+    return delivery.remaining(rows, delivery.due(rows, S.users(spark, sf_dir), now())).select("user_id", "id", "category")
+
+
+# --- deletion ---
+
+
+@query("""SELECT CAST(count(d.doc_id) AS BIGINT) AS total_marked, CAST(0 AS BIGINT) AS total_skipped, CAST(0 AS BIGINT) AS total_failed, CAST(count(*) - count(d.doc_id) AS BIGINT) AS total_queued,
+  printf('%.2f%%', count(d.doc_id) * 100.0 / count(*)) AS success_rate
+FROM labels l LEFT JOIN (SELECT DISTINCT doc_id FROM documents WHERE source <> 'src3') d USING (doc_id)""")
+def mark_deleted(spark, sf_dir):
+    there = table(spark, sf_dir, "documents").where("source <> 'src3'").select("doc_id")
+    return deletion.summary(deletion.mark(table(spark, sf_dir, "labels").select("doc_id"), there, ("doc_id",)))
+
+
+@query("SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM (SELECT * FROM events WHERE event_type = 'error' AND ts <= TIMESTAMP '2024-01-20 00:00:00' ORDER BY ts, event_id LIMIT 500)")
+def queue_select(spark, sf_dir):
+    """One run of the queue takes the 500 items that are longest due; the limit is the operator's."""
+    e = table(spark, sf_dir, "events").where("event_type = 'error'").withColumnRenamed("ts", "nextRetryAt")
+    return deletion.due_items(e, F.to_timestamp(F.lit("2024-01-20 00:00:00")), "event_id").select("event_id", "user_id", stamp(F.col("nextRetryAt")).alias("at"))
+
+
+def _queue(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events").where("event_type IN ('error', 'signup')")
+    k = F.col("event_id")
+    return e.select(
+        F.col("user_id").cast("string").alias("user_id"), F.when(k % 13 == 0, "someone").otherwise(F.col("user_id").cast("string")).alias("userId"), F.when(k % 7 == 0, "users").otherwise("HealthObservations_Steps").alias("collection"),
+        F.when(k % 11 == 0, "a/b").otherwise((k - k % 3).cast("string")).alias("documentId"), F.when(k % 17 == 0, "WHY").otherwise("NOT_FOUND").alias("reason"), (k % 5 - 1).cast("int").alias("retryCount"), k.alias("queue_id"),
+    )
+
+
+@query(f"""WITH q AS (SELECT event_id, CAST(user_id AS VARCHAR) AS u, event_id % 13 = 0 AS other, event_id % 7 = 0 AS badc, CASE WHEN event_id % 11 = 0 THEN 'a/b' ELSE CAST(event_id - event_id % 3 AS VARCHAR) END AS doc,
+    event_id % 17 = 0 AS badr, CAST(event_id % 5 - 1 AS INTEGER) AS n FROM events WHERE event_type IN ('error', 'signup')),
+o AS (SELECT CAST(user_id AS VARCHAR) AS u, CAST(event_id AS VARCHAR) AS id FROM events WHERE event_type = 'view'),
+e AS (SELECT *, CASE WHEN other THEN 'payload userId ''someone'' does not match path-derived owner ''' || u || '''' WHEN badc THEN 'collection ''users'' is not a permitted collection name'
+    WHEN doc = 'a/b' THEN 'invalid documentId ''a/b''' WHEN n < 0 THEN 'invalid retryCount ''-1''' WHEN badr THEN 'invalid reason ''WHY''' END AS error FROM q),
+r AS (SELECT e.*, CASE WHEN error IS NOT NULL THEN 'skipped' WHEN EXISTS (SELECT 1 FROM o WHERE o.u = e.u AND o.id = e.doc) THEN 'succeeded' WHEN n + 1 >= 3 THEN 'dead-lettered' ELSE 'requeued' END AS outcome FROM e)
+SELECT event_id AS queue_id, outcome, error, CASE WHEN outcome = 'requeued' THEN n + 1 END AS retries,
+  CASE WHEN outcome = 'requeued' THEN strftime({NOW_SQL} + to_hours(CAST(least(8 * pow(2, n + 1), 24) AS INTEGER)), '%Y-%m-%d %H:%M:%S') END AS next_retry FROM r""")
+def queue_tick(spark, sf_dir):
+    there = table(spark, sf_dir, "events").where("event_type = 'view'").select(F.col("user_id").cast("string").alias("user_id"), F.lit("HealthObservations_Steps").alias("collection"), F.col("event_id").cast("string").alias("id"))
+    done = deletion.tick(_queue(spark, sf_dir), there, now())
+    return done.select("queue_id", "outcome", "error", F.col("newRetryCount").alias("retries"), stamp(F.col("newNextRetryAt")).alias("next_retry"))
+
+
+@query("""WITH old AS (SELECT user_id || '__' || event_id AS k, 2 AS n FROM events WHERE event_type = 'error' AND event_id % 2 = 0), new AS (SELECT DISTINCT user_id || '__' || event_id AS k, 0 AS n FROM events WHERE event_type = 'error')
+SELECT k, n FROM old UNION ALL SELECT k, n FROM new WHERE k NOT IN (SELECT k FROM old)""")
+def enqueue_idempotent(spark, sf_dir):
+    e = table(spark, sf_dir, "events").where("event_type = 'error'")
+    key = scalars.composite_key(F.col("user_id").cast("string"), F.col("event_id").cast("string"))
+    old = e.where("event_id % 2 = 0").select(key.alias("k"), F.lit(2).alias("n"))
+    new = e.select(key.alias("k"), F.lit(0).alias("n"))
+    return deletion.enqueue(old, new.unionByName(new.where("k like '1%'")), ("k",))
+
+
+# --- history ---
+
+
+@query("""WITH v AS (SELECT user_id, ts, event_id, event_type || '|' || CAST(floor(value / 25) AS BIGINT) AS c FROM events),
+d AS (SELECT *, lag(c) OVER w AS b, row_number() OVER w AS n FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+k AS (SELECT * FROM d WHERE n = 1 OR c <> b),
+g AS (SELECT *, sum(CASE WHEN gap > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS gap FROM k))
+SELECT user_id, event_id, c AS content, strftime(ts, '%Y-%m-%d %H:%M:%S') AS captured FROM (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY ts DESC, event_id DESC) AS l FROM g) WHERE l = 1""")
+def debounce_snapshots(spark, sf_dir):
+    rows = snapshots.debounced(S.versions(spark, sf_dir), F.col("content"), window_ms=6 * 3600 * 1000)
+    return rows.select("user_id", F.col("seq").alias("event_id"), "content", stamp(F.col("t")).alias("captured"))
+
+
+@query("""WITH a AS (SELECT user_id, arg_max(props, (ts, event_id)) AS j FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00' GROUP BY 1), b AS (SELECT user_id, arg_max(props, (ts, event_id)) AS j FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND user_id % 9 <> 0 GROUP BY 1)
+SELECT 'users/' || coalesce(a.user_id, b.user_id) AS path, CASE WHEN a.j IS NULL THEN 'created' WHEN b.j IS NULL THEN 'deleted' ELSE 'updated' END AS type, a.j AS before, b.j AS data FROM a FULL JOIN b ON a.user_id = b.user_id WHERE a.j IS DISTINCT FROM b.j""")
+def cdc_history(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    day = lambda s: F.to_timestamp(F.lit(s))
+    last = lambda df: df.groupBy(F.concat(F.lit("users/"), F.col("user_id").cast("string")).alias("path")).agg(F.max_by("props", F.struct("ts", "event_id")).alias("j"))
+    before, after = last(e.where(F.col("ts") < day("2024-01-02"))), last(e.where((F.col("ts") >= day("2024-01-10")) & (F.col("user_id") % 9 != 0)))
+    return snapshots.change_records(snapshots.changes(before, after, "path", "j"))
+
+
+# --- paths, JSON, batches ---
+
+
+@query(r"""WITH p AS (SELECT page_id, 'users/' || regexp_extract(url, '://([^/]*)', 1) || '/liveHealthSamples/' || CASE page_id % 4 WHEN 0 THEN 'com.apple.SensorKit.kind' || page_id || '_AB-12.json.zstd'
+    WHEN 1 THEN 'HKQuantityTypeIdentifierStepCount_x.json.zstd' WHEN 2 THEN 'CustomIdentifierFoo.json.zstd' ELSE 'plain.json.zstd' END AS path FROM pages)
+SELECT page_id, string_split(path, '/')[2] AS user_id, string_split(path, '/')[4] AS file, CASE WHEN regexp_extract(path, 'com\.apple\.SensorKit\.([^_]+)_[A-Fa-f0-9-]+\.json\.zstd$', 1) <> '' THEN 'SensorKitObservations_' || regexp_extract(path, 'com\.apple\.SensorKit\.([^_]+)_', 1)
+  WHEN regexp_extract(string_split(path, '/')[4], '[A-Za-z]*Identifier[A-Za-z]*') <> '' THEN 'HealthObservations_' || regexp_extract(string_split(path, '/')[4], '[A-Za-z]*Identifier[A-Za-z]*') END AS collection FROM p""")
+def path_parse(spark, sf_dir):
+    k = F.col("page_id")
+    name = F.when(k % 4 == 0, F.concat(F.lit("com.apple.SensorKit.kind"), k.cast("string"), F.lit("_AB-12.json.zstd"))).when(k % 4 == 1, "HKQuantityTypeIdentifierStepCount_x.json.zstd").when(k % 4 == 2, "CustomIdentifierFoo.json.zstd").otherwise("plain.json.zstd")
+    rows = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("users/"), F.regexp_extract("url", "://([^/]*)", 1), F.lit("/liveHealthSamples/"), name).alias("path"))
+    file = scalars.last_segment(F.col("path"))
+    return rows.select("page_id", scalars.archive_user(F.col("path")).alias("user_id"), file.alias("file"), scalars.archive_collection(file).alias("collection"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL AND event_id % 3 <> 0")
+def json_explode(spark, sf_dir):
+    """Events as arrays of JSON records, exploded as variants; records without a number k, here every third, are left out."""
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, '{"other": 1}').otherwise(F.col("props")).alias("props"))
+    rows = e.select("event_id", F.explode(F.expr("try_variant_get(try_parse_json(concat('[', props, ']')), '$', 'array<variant>')")).alias("r"))
+    return rows.select("event_id", F.expr("try_variant_get(r, '$.k', 'bigint')").alias("k")).where("k is not null")
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 4) AS BIGINT) AS batch FROM orders")
+def batch_pack_count(spark, sf_dir):
+    return accounts.batch_numbers(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", ["o_orderkey"], 4)
+
+
+@query()
+def batch_pack_bytes(spark, sf_dir):
+    """Rows of a user in batches of at most 5 rows and 200,000 in price."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("long").alias("size"))
+    return accounts.packed_batches(o, "o_custkey", "o_orderkey", "size", 5, 200_000)
+
+
+# --- measurements ---
+
+_UNIT_OF = {"view": ("[lb_av]", "lbs", "kg"), "click": ("m", "meters", "miles"), "purchase": ("Cel", "celsius", "fahrenheit"), "signup": ("[degF]", "fahrenheit", "celsius"), "error": ("kg", "kg", "meters")}
+
+
+@query("""SELECT * FROM (SELECT event_id, CASE event_type WHEN 'view' THEN 'kg' WHEN 'click' THEN 'miles' WHEN 'purchase' THEN 'fahrenheit' WHEN 'signup' THEN 'celsius' END AS target,
+  CASE event_type WHEN 'view' THEN value * CAST(0.45359237 AS DOUBLE) WHEN 'click' THEN value / CAST(1609.344 AS DOUBLE) WHEN 'purchase' THEN value * 9 / 5 + 32 WHEN 'signup' THEN (value - 32) * 5 / 9 END AS converted
+FROM events WHERE value <> 0) WHERE converted <> 0""")
+def unit_convert(spark, sf_dir):
+    pick = lambda i: scalars.lookup(F.col("event_type"), {k: v[i] for k, v in _UNIT_OF.items()})
+    rows = table(spark, sf_dir, "events").select("event_id", "value", pick(0).alias("code"), pick(1).alias("unit"), pick(2).alias("target"))
+    return observation.convert_units(rows, "code", "unit", "target", "value").select("event_id", "target", "converted")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS id, CASE event_type WHEN 'view' THEN 'heartRate' WHEN 'click' THEN 'bodyWeight' WHEN 'purchase' THEN 'systolicBloodPressure' WHEN 'signup' THEN 'leanBodyMass' END AS accessor,
+  CASE event_type WHEN 'click' THEN value * CAST(0.45359237 AS DOUBLE) ELSE value END AS value, CASE event_type WHEN 'view' THEN 'bpm' WHEN 'purchase' THEN 'mmHg' ELSE 'kg' END AS unit, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at
+FROM events WHERE event_type IN ('view', 'click', 'purchase') AND value <> 0""")
+def typed_measurement(spark, sf_dir):
+    """Events as observations: pulse, weight in pounds, blood pressure in a component, and mass in a unit that has no conversion."""
+    kinds = {"view": ("8867-4", "/min", "beats/minute"), "click": ("29463-7", "[lb_av]", "lbs"), "purchase": ("85354-9", "mm[Hg]", "mmHg"), "signup": ("91557-9", "m", "meters")}
+    pick = lambda i: scalars.lookup(F.col("event_type"), {k: v[i] for k, v in kinds.items()})
+    concept = lambda code: F.struct(F.array(F.struct(F.lit(vocab.LOINC).alias("system"), F.lit(None).cast("string").alias("version"), code.alias("code"), F.lit(None).cast("string").alias("display"))).alias("coding"), F.lit("").alias("text"))
+    quantity = F.struct(pick(1).alias("code"), F.lit(vocab.UCUM).alias("system"), pick(2).alias("unit"), F.col("value").alias("value"))
+    pressure = F.col("event_type") == "purchase"
+    none = F.lit(None).cast("timestamp")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("event_id").cast("string").alias("id"), concept(pick(0)).alias("code"), F.when(~pressure, quantity).alias("valueQuantity"),
+        F.when(pressure, F.array(F.struct(concept(F.lit("8480-6")).alias("code"), quantity.alias("valueQuantity")))).alias("component"), none.alias("effectiveDateTime"), none.alias("effectiveInstant"),
+        F.struct(F.col("ts").alias("start"), none.alias("end")).alias("effectivePeriod"),
+    )
+    return observation.measurements(rows).select("id", "accessor", "value", "unit", stamp(F.col("date")).alias("at"))
+
+
+# --- texts, dates, accounts ---
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'de ' || n_name WHEN 1 THEN 'en-US ' || n_name WHEN 2 THEN 'en ' || n_name ELSE 'fr ' || n_name END AS text FROM nation")
+def localized_text(spark, sf_dir):
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    entry = lambda *langs: F.create_map(*(x for lang in langs for x in (F.lit(lang), F.concat(F.lit(lang + " "), name))))
+    content = F.when(k % 4 == 0, entry("en", "de")).when(k % 4 == 1, entry("fr", "en-US")).when(k % 4 == 2, entry("fr", "en")).otherwise(entry("fr", "it"))
+    return table(spark, sf_dir, "nation").select(k, scalars.localize(content, F.lit("de-AT")).alias("text"))
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS name FROM part")
+def capitalize_words(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", scalars.capitalize_words(F.col("p_name")).alias("name"))
+
+
+@query("""SELECT o_orderkey, CAST(2024 - year(o_orderdate) - CASE WHEN 3 < month(o_orderdate) OR (3 = month(o_orderdate) AND 7 < day(o_orderdate)) THEN 1 ELSE 0 END AS INTEGER) AS age FROM orders""")
+def age_years(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.age_years(F.col("o_orderdate"), now()).cast("int").alias("age"))
+
+
+@query("""WITH r AS (SELECT c_mktsegment AS region, CASE WHEN c_custkey % 3 = 0 THEN ' User' ELSE 'user' END || (c_custkey % 200) || '@Mail.example' || CASE WHEN c_custkey % 10 = 0 THEN '' ELSE '.org ' END AS email, c_custkey AS created FROM customer),
+v AS (SELECT region, trim(email) AS email, created, region || '_' || lower(trim(email)) AS key FROM r WHERE region IN ('BUILDING', 'MACHINERY') AND email LIKE '%.%g%')
+SELECT key, region, email, created FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY created DESC) AS n FROM v WHERE regexp_matches(email, '\\.org$')) WHERE n = 1""")
+def waitlist_upsert(spark, sf_dir):
+    k = F.col("c_custkey")
+    email = F.concat(F.when(k % 3 == 0, " User").otherwise("user"), (k % 200).cast("string"), F.lit("@Mail.example"), F.when(k % 10 == 0, "1").otherwise(".org "))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("region"), email.alias("email"), k.alias("created"))
+    return accounts.waitlisted(rows, ["BUILDING", "MACHINERY"], "created")
+
+
+@query(f"""WITH {USERS_SQL}, q AS (SELECT c_custkey * 2 AS user_id FROM customer WHERE c_custkey % 4 = 0)
+SELECT q.user_id, CASE WHEN u.user_id IS NULL THEN 'not-found' WHEN disabled THEN 'permission-denied' WHEN withdrawn THEN 'already-exists' END AS error,
+  CASE WHEN u.user_id IS NULL THEN NULL WHEN disabled THEN withdrawn ELSE true END AS withdrawn,
+  CASE WHEN u.user_id IS NULL THEN 0 WHEN disabled OR withdrawn THEN CASE WHEN has_history THEN 1 ELSE 0 END ELSE CASE WHEN has_history THEN 2 ELSE 1 END END AS entries
+FROM q LEFT JOIN users u USING (user_id)""")
+def lifecycle_withdraw(spark, sf_dir):
+    requests = table(spark, sf_dir, "customer").where("c_custkey % 4 = 0").select((F.col("c_custkey") * 2).alias("user_id"), F.lit("me").alias("requested_by"))
+    done = accounts.transition(S.users(spark, sf_dir), requests, "withdraw", now())
+    return done.select("user_id", "error", F.col("hasWithdrawnFromStudy").alias("withdrawn"), F.coalesce(F.cardinality("studyEnrollmentHistory"), F.lit(0)).alias("n")).select("user_id", "error", "withdrawn", F.greatest("n", F.lit(0)).alias("entries"))
+
+
+@query(f"WITH {USERS_SQL} SELECT count(*) AS scanned, count(*) FILTER (WHERE extended IS NULL) AS updated, count(extended) AS skipped FROM users")
+def backfill_missing(spark, sf_dir):
+    return accounts.backfilled(S.users(spark, sf_dir), "extendedActivityNudgesOptIn", True)[1]
+
+
+@query("""WITH l AS (SELECT user_id, max(ts) AS last FROM events GROUP BY 1)
+SELECT c_custkey AS uid, strftime(last, '%Y-%m-%d %H:%M:%S') AS last FROM customer JOIN l ON c_custkey = user_id WHERE c_custkey % 3 <> 0 AND last < TIMESTAMP '2024-01-30 00:00:00'""")
+def expired_accounts(spark, sf_dir):
+    last = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("lastSignInTime"))
+    claims = F.when(F.col("c_custkey") % 3 == 0, F.create_map(F.lit("type"), F.lit("staff")))
+    auth = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("uid"), claims.alias("customClaims")).join(last, F.col("uid") == F.col("user_id"))
+    return accounts.expired(auth, F.to_timestamp(F.lit("2024-01-31 00:00:00"))).select("uid", stamp(F.col("lastSignInTime")).alias("last"))
+
+
+@query("""SELECT 'customer' AS name, count(*) AS n FROM customer WHERE c_custkey % 31 <> 0 UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_custkey % 31 <> 0 UNION ALL SELECT 'events', count(*) FROM events WHERE user_id % 31 <> 0 OR user_id NOT IN (SELECT c_custkey FROM customer)""")
+def cascade_delete(spark, sf_dir):
+    doomed = S.users(spark, sf_dir).where("toBeDeleted")
+    tables = {
+        "customer": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")), "orders": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id")), "events": table(spark, sf_dir, "events").select("user_id"),
+    }
+    out = None
+    for name, df in accounts.cascade(tables, doomed).items():
+        n = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out
