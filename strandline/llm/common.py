@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one block handed to Python code holds, unless one text is longer.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,14 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more:
     return df.select(*(F.col(f"`{c}`").alias(n) for n, c in cols.items()))
 
 
+def trim() -> None:
+    """Gives memory that is free again back to the system, as Python workers stay for later tasks."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that no block has more than ``limit`` bytes in ``column`` (one row at least)."""
     for batch in batches:
@@ -36,6 +45,7 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             size += n
         if start < len(lengths):
             yield batch.slice(start)
+    trim()
 
 
 def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -46,6 +46,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 LONGEST_GRAM = 4
 WINDOW = 2048
+CHUNK = 1 << 15  #: words whose features are held at once
 SMOOTHING = 0.3
 WORST = 8.0  #: how far a word may put a language behind the best
 SWITCH = 10.0
@@ -92,6 +93,9 @@ class Model:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """A row per word: how far each language is behind the best, from 0 down to -WORST."""
+        return np.concatenate([self._chunk_scores(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)])
+
+    def _chunk_scores(self, words: list[str]) -> np.ndarray:
         who, bucket, script = grams(words)
         out = np.empty((len(words), len(self.langs)))
         for k in range(len(self.langs)):
@@ -102,7 +106,7 @@ class Model:
         out[unknown] = 0
         out[~allowed] = -np.inf
         out -= out.max(axis=1, keepdims=True)
-        return np.maximum(out / 2, -WORST)  # features of a word overlap: half of their evidence counts
+        return np.maximum(out / 2, -WORST).astype(np.float32)  # features of a word overlap: half of their evidence counts
 
 
 def viterbi(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -115,7 +119,7 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return labels
     stays = np.zeros(scores.shape, bool)
     leads = np.zeros(len(scores), np.int16)
-    value = np.zeros((len(lengths), scores.shape[1]))
+    value = np.zeros((len(lengths), scores.shape[1]), np.float32)
     longest = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
@@ -123,11 +127,12 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         at = begins[:k] + t
         before = value[:k]
         lead = before.argmax(axis=1)
-        switched = before[np.arange(k), lead][:, None] - SWITCH
+        switched = before[np.arange(k), lead][:, None] - np.float32(SWITCH)
         stay = before >= switched
         stays[at] = stay
         leads[at] = lead
-        value[:k] = np.where(stay, before, switched) + scores[at]
+        now = np.where(stay, before, switched) + scores[at]
+        value[:k] = now - now.max(axis=1, keepdims=True)  # only differences matter
     now = value.argmax(axis=1).astype(np.int16)
     for t in range(longest - 1, -1, -1):
         k = active[t]
@@ -145,7 +150,7 @@ def label(model: Model, words_of: list[list[str]]) -> list[np.ndarray]:
 def _labelled(model: Model, words_of: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
     codes = Codes()
     which = [np.fromiter(map(codes.__getitem__, map(str.lower, words)), np.int64, len(words)) for words in words_of]
-    table = model.word_scores(list(codes)) if codes else np.zeros((0, len(model.langs)))
+    table = model.word_scores(list(codes)) if codes else np.zeros((0, len(model.langs)), np.float32)
     sizes = [len(w) for w in which]
     flat = np.concatenate([*which, np.empty(0, np.int64)])
     ends = np.cumsum([0, *sizes])
@@ -167,7 +172,7 @@ def predict(model: Model, values: list[str]) -> list[tuple[str, float]]:
             continue
         letters = np.bincount(labels, weights=np.fromiter(map(len, words), float, len(words)), minlength=len(model.langs))
         best = int(letters.argmax())
-        total = scores[labels == best].sum(axis=0)
+        total = scores[labels == best].sum(axis=0, dtype=np.float64)
         p = 1 / np.exp(np.clip(total - total[best], -50, 50)).sum()
         out.append((model.langs[best], float(letters[best] / letters.sum() * min(1.0, p))))
     return out
@@ -200,12 +205,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
                 which = np.concatenate([np.fromiter(map(codes.__getitem__, WORDS.findall(v)), np.int64) for v in values])
                 if not codes:
                     continue
-                times = np.bincount(which, minlength=len(codes))
-                words = list(codes)
-                who, bucket, script = grams(words)
-                k = numbers[lang]
-                total[k :: len(langs)][:BUCKETS] += np.bincount(bucket, weights=times[who], minlength=BUCKETS).astype(np.int64)
-                total[k :: len(langs)][BUCKETS:] += np.bincount(script, weights=times, minlength=len(SCRIPT_NAMES)).astype(np.int64)
+                all_times, all_words, k = np.bincount(which, minlength=len(codes)), list(codes), numbers[lang]
+                for i in range(0, len(all_words), CHUNK):
+                    times = all_times[i : i + CHUNK]
+                    who, bucket, script = grams(all_words[i : i + CHUNK])
+                    total[k :: len(langs)][:BUCKETS] += np.bincount(bucket, weights=times[who], minlength=BUCKETS).astype(np.int64)
+                    total[k :: len(langs)][BUCKETS:] += np.bincount(script, weights=times, minlength=len(SCRIPT_NAMES)).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -251,9 +256,7 @@ def keep_identified(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
     """The rows of ``df``, all columns, whose text has a language."""
 
     def run(batches):
-        for batch in batches:
-            for block in blocks([batch], text_col):
-                keep = [lang != "und" for lang, _ in predict(model, strings(block, text_col))]
-                yield block.filter(pa.array(keep, pa.bool_()))
+        for block in blocks(batches, text_col):
+            yield block.filter(pa.array([lang != "und" for lang, _ in predict(model, strings(block, text_col))], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

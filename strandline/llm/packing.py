@@ -20,9 +20,8 @@ give nothing.
 from __future__ import annotations
 
 import zlib
-from array import array
 from functools import cache
-from itertools import combinations_with_replacement
+from itertools import chain, combinations_with_replacement, islice
 
 import numpy as np
 import pyarrow as pa
@@ -151,34 +150,41 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = Codes()
+        self.ids = np.empty(0, np.uint16)
+        self.bounds = np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
+        """Encodes the chunks that got a code since the last time."""
+        new = list(islice(self.codes, len(self.bounds) - 1, None))
+        for i in range(0, len(new), 20_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in new[i : i + 20_000]], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))])
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
-        codes = Codes()
+        if len(self.codes) > CACHED_CHUNKS:
+            self._forget()
+        code = self.codes.__getitem__
         which: list[np.ndarray | None] = []
         for v in values:
             data = v.encode()
-            which.append(None if b"<|" in data else np.fromiter(map(codes.__getitem__, data.lower().split()), np.int64))
-        if len(self.known) > CACHED_CHUNKS:
-            self.known = {c: self.known[c] for c in codes if c in self.known}
-        new = [c for c in codes if c not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False), strict=True):
-                self.known[c] = array("H", e.ids).tobytes()
-        stored = [self.known[c] for c in codes]
-        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, stored), np.int64, len(stored)) // 2)])
-        flat = np.frombuffer(b"".join(stored), np.uint16)
+            which.append(None if b"<|" in data else np.fromiter(map(code, data.lower().split()), np.int64))
+        self._learn()
         out = []
         for v, w in zip(values, which, strict=True):
             if w is None:
                 out.append(np.array(self.tokenizer.encode(v, add_special_tokens=False).ids, np.uint16))
                 continue
-            begins = bounds[w]
-            sizes = bounds[w + 1] - begins
+            begins = self.bounds[w]
+            sizes = self.bounds[w + 1] - begins
             ends = np.cumsum(sizes)
             total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.arange(total) + np.repeat(begins - (ends - sizes), sizes)])
+            out.append(self.ids[np.arange(total) + np.repeat(begins - (ends - sizes), sizes)])
         return out
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Codes, blocks, fold, strings, texts
+from strandline.llm.common import Codes, blocks, fold, strings, texts, trim
 
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = ".!?\n"
@@ -159,7 +159,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # The sample's size is bounded by fit_docs, so it may be broadcast.
     rows = texts(docs, id_col, text_col).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y").toPandas()
     rows = rows.sort_values(["doc_id", "text"], na_position="first")  # the same order whatever the partitions
-    return train([x or "" for x in rows["text"]], rows["y"].tolist())
+    model = train([x or "" for x in rows["text"]], rows["y"].tolist())
+    del rows
+    trim()
+    return model
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,8 +196,7 @@ def keep_clean(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """The rows of ``df``, all columns, whose text scores below one half."""
 
     def run(batches):
-        for batch in batches:
-            for block in blocks([batch], text_col):
-                yield block.filter(pa.array([p < 0.5 for p in noisy_or(model, strings(block, text_col))], pa.bool_()))
+        for block in blocks(batches, text_col):
+            yield block.filter(pa.array([p < 0.5 for p in noisy_or(model, strings(block, text_col))], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
