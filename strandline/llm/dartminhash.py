@@ -12,8 +12,11 @@ Signatures are joined by bands. The members of a band's bucket are not paired wi
 other: each is compared with the bucket's earliest text. Every candidate pair is checked
 on its whole shingle sets. Connected components of the checked pairs are then refined:
 where a bucket still holds several components, its members outside of the largest are
-compared with the members of other components whose signatures agree with theirs most,
-until no component grows. Equal texts (by their words) are one node from the start.
+compared with all members of other components whose signatures agree with theirs in
+LEAST_AGREEMENT coordinates or more. Small buckets give such pairs to the join; the members
+of a bucket of more than SMALL are dealt into chunks with their sets, compared within the
+chunk's task, and leave it as links that join components, one for each join at most. Equal
+texts (by their words) are one node from the start.
 
 Elements are compared by 32-bit fingerprints, which shifts a similarity by less than 1e-4.
 
@@ -45,7 +48,7 @@ K = BANDS * ROWS
 SIMILARITY = 0.8
 #: Signatures that agree in fewer coordinates are not tried again; at 0.8 that's 3.5 standard deviations off.
 LEAST_AGREEMENT = 40
-CHUNK = 512
+SMALL, CHUNK = 64, 512
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -214,27 +217,58 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _across(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """A row outside of the group's largest component, and the rows of other components that may be similar, best first; each pair once."""
+    sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
+    codes = Codes()
+    number = np.array([codes[x] for x in group.column("label").to_pylist()])
+    outside = number != np.bincount(number).argmax()
+    rows = np.arange(len(number))
+    for i in np.flatnonzero(outside).tolist():
+        agree = np.count_nonzero(sketches == sketches[i], axis=1)
+        maybe = np.flatnonzero((agree >= LEAST_AGREEMENT) & (number != number[i]) & (~outside | (rows < i)))
+        if len(maybe):
+            yield i, maybe[np.argsort(-agree[maybe], kind="stable")]
+
+
+def _pairs(a: list[bytes], b: list[bytes]) -> pa.Table:
+    return pa.table({"a": pa.array(map(min, a, b), pa.binary()), "b": pa.array(map(max, a, b), pa.binary())})
+
+
 def proposals(members: DataFrame) -> DataFrame:
-    """Pairs worth a check between components that share a bucket. members: band, chunk, key, label, sketch."""
-
-    def run(group: Iterator[pa.RecordBatch] | pa.Table) -> pa.Table:
-        keys, labels = group.column("key").to_pylist(), group.column("label").to_pylist()
-        sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
-        codes = Codes()
-        number = np.array([codes[x] for x in labels])
-        largest = np.bincount(number).argmax()
-        a, b = [], []
-        for i in np.flatnonzero(number != largest).tolist():
-            agree = np.count_nonzero(sketches == sketches[i], axis=1)
-            agree[number == number[i]] = 0
-            for j in np.argsort(-agree, kind="stable")[:3].tolist():
-                if agree[j] >= LEAST_AGREEMENT:
-                    x, y = sorted((keys[i], keys[j]))
-                    a.append(x)
-                    b.append(y)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return members.groupBy("band", "chunk").applyInArrow(run, "a binary, b binary").distinct()
+    """Pairs of small buckets that are worth a check. members: band, key, label, sketch."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_pylist()
+        found = [(keys[i], keys[j]) for i, others in _across(group) for j in others.tolist()]
+        return _pairs([x for x, _ in found], [y for _, y in found])
+
+    return members.groupBy("band").applyInArrow(run, "a binary, b binary").distinct()
+
+
+def resolved(members: DataFrame, least: float) -> DataFrame:
+    """Links between components within chunks of large buckets. members: band, chunk, key, label, sketch, cells."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys, cells, labels = (group.column(c).to_pylist() for c in ("key", "cells", "label"))
+        parent = {x: x for x in labels}
+
+        def root(x: bytes) -> bytes:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        for i, others in _across(group):
+            for j in others.tolist():
+                x, y = root(labels[i]), root(labels[j])
+                if x != y and jaccard(cells[i], cells[j]) >= least:
+                    parent[x] = y
+                    found.append((keys[i], keys[j]))
+        return _pairs([x for x, _ in found], [y for _, y in found])
+
+    return members.groupBy("band", "chunk").applyInArrow(run, "a binary, b binary")
 
 
 def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -253,19 +287,16 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = materialize(shared.where("key <> center").select(*order("key", "center")).distinct(), "pairs")
     wanted = shared.select("key").distinct()
     cells = materialize(signed.select("key", "cells").join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("cells").alias("cells")), "cells")
-    tried = pairs
     edges = materialize(similar(pairs, cells, least), "links")
-    while True:
-        labels = components(edges)
-        known = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", "sketch", "other", "size", F.coalesce("label", "key").alias("label"))
-        open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
-        chunk = F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))
-        members = known.join(open_, "band").select("band", chunk.alias("chunk"), "key", "label", "sketch")
-        pairs = materialize(proposals(members).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(similar(pairs, cells, least), "links")
-        if found.isEmpty():
-            return labels.select(F.col("node").alias("key"), F.col("label").alias("class_key"))
-        edges, tried = edges.union(found), tried.union(pairs)
+    labels = components(edges)
+    known = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", "sketch", "other", "size", F.coalesce("label", "key").alias("label"))
+    open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
+    members = materialize(known.join(open_, "band"), "members")
+    more = similar(proposals(members.where(F.col("size") <= SMALL)), cells, least)
+    chunk = F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))
+    large = members.where(F.col("size") > SMALL).join(cells, "key").select("band", chunk.alias("chunk"), "key", "label", "sketch", "cells")
+    labels = components(edges.union(materialize(more.union(resolved(large, least)), "links")))
+    return labels.select(F.col("node").alias("key"), F.col("label").alias("class_key"))
 
 
 def _classes(signed: DataFrame, least: float) -> DataFrame:
