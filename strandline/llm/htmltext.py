@@ -56,7 +56,7 @@ SAME_CLOSES = {  # a start tag of the key closes an open element of the value, n
 # End of fixed values.
 
 TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)",
+    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^'\">])*+)(?:>|\Z)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""(?:^|(?<=[\s"'/]))(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
@@ -67,15 +67,15 @@ RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in R
 def _dropped(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
-    if not attributes or tag in KEPT:
+    if not attributes:
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            if not BOILERPLATE.isdisjoint(NAME_PARTS.findall(value)):
+            if tag not in KEPT and not BOILERPLATE.isdisjoint(NAME_PARTS.findall(value)):
                 return True
         elif name == "role":
-            if value in DROPPED_ROLES:
+            if tag not in KEPT and value in DROPPED_ROLES:
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True

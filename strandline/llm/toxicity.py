@@ -2,7 +2,7 @@
 
 A text is a bag of sentences. A sentence's logit is a bias plus the weights of its words;
 a word's weight is the sum of the weights of hashed features: the word and its prefixes of
-four to six letters, and so carries over to other endings. Noisy-or joins the sentences: a
+three to seven letters, and so carries over to other endings. Noisy-or joins the sentences: a
 text is toxic unless every sentence is clean. Weights come from document labels alone, by
 gradient descent on the noisy-or likelihood, and then point at the offending sentences.
 Weights are 0 or more, and an L1 penalty keeps most at 0: plain words neither excuse a
@@ -31,7 +31,7 @@ from strandline.llm.common import Codes, blocks, fold, strings, texts, trim
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = ".!?\n"
 BUCKETS = 1 << 18
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7)
 BIAS = -9.0
 EPOCHS, RATE, PENALTY = 60, 0.3, 0.5
 CLEAN_WEIGHT = 3.0  #: a clean text counts so much more than a toxic one
@@ -120,7 +120,7 @@ def train(values: list[str], labels: list[int]) -> Model:
     hits = [np.bincount(feature[y[docs] == k], minlength=BUCKETS + 1) for k in (False, True)]
     odds = np.log((hits[1] + 0.5) / (y.sum() + 1)) - np.log((hits[0] + 0.5) / ((~y).sum() + 1))
     odds[hits[0] + hits[1] == 0] = 0
-    w = np.where(hits[1] > 1, np.clip(odds - 2, 0, 5), 0) / buckets.shape[1]
+    w = np.where(hits[1] > 1, np.clip(odds - 2, 0, 6), 0) / 2
     w[BUCKETS] = 0
     bias, squares, bias_square = BIAS, np.full(BUCKETS + 1, 1e-3), 1e-3
     importance = np.where(y, 1.0, CLEAN_WEIGHT) / len(y)
