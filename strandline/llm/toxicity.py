@@ -34,7 +34,7 @@ BUCKETS = 1 << 18
 PREFIXES = (3, 4, 5, 6, 7)
 BIAS = -9.0
 EPOCHS, RATE, PENALTY = 60, 0.3, 0.5
-CLEAN_WEIGHT = 3.0  #: a clean text counts so much more than a toxic one
+CLEAN_WEIGHT = 1.0  #: how much more a clean text counts than a toxic one
 
 
 def features(words: list[str]) -> np.ndarray:
