@@ -282,11 +282,13 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
         .where("lo <> hi")
         .select("band", F.col("c.key").alias("center"), "size")
     )
-    shared = materialize(member.join(buckets, "band").select("band", "key", "sketch", "other", "center", "size"), "shared")
+    shared = materialize(member.join(buckets, "band").select("band", "key", "first", "sketch", "other", "center", "size"), "shared")
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     pairs = materialize(shared.where("key <> center").select(*order("key", "center")).distinct(), "pairs")
-    wanted = shared.select("key").distinct()
-    cells = materialize(signed.select("key", "cells").join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("cells").alias("cells")), "cells")
+    # One copy of a text stands for all; joined by its id too, so that a text of many copies is no hot key.
+    wanted = shared.select("key", F.col("first").alias("doc_id")).distinct()
+    cells = signed.select("key", "doc_id", "cells").join(wanted, ["key", "doc_id"], "left_semi").groupBy("key", "doc_id").agg(F.any_value("cells").alias("cells"))
+    cells = materialize(cells.select("key", "cells"), "cells")
     edges = materialize(similar(pairs, cells, least), "links")
     labels = components(edges)
     known = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", "sketch", "other", "size", F.coalesce("label", "key").alias("label"))
