@@ -512,10 +512,10 @@ def test_wand_skips_and_stays_exact():
         lists.append((-math.log(share), p))
     scored = np.zeros(n)
     for w, p in lists:
-        cursor = topk._List(w, 100.0, p.tobytes(), None)
-        scored[p["at"]] += [cursor.part(int(t), int(d)) for t, d in zip(p["tf"], p["dl"], strict=True)]
+        source = topk._Postings(100.0, p.tobytes(), None)
+        scored[p["at"]] += [w * source.part(int(t), int(d)) for t, d in zip(p["tf"], p["dl"], strict=True)]
     best: list = []
-    cursors = [topk._List(w, 100.0, p.tobytes(), topk.bounds_of(p)) for w, p in lists]
+    cursors = [topk._List(w, topk._Postings(100.0, p.tobytes(), topk.bounds_of(p))) for w, p in lists]
     topk.wand(cursors, 10, best)
     order = sorted(range(n), key=lambda d: (-scored[d], d))[:10]
     assert [-d for _, d in sorted(best, key=lambda e: (-e[0], -e[1]))] == order
