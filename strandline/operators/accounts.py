@@ -139,3 +139,9 @@ def latest(rows: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     """The latest row of each key."""
     others = [c for c in rows.columns if c != key]
     return rows.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(time, tie)).alias("r")).select(key, "r.*")
+
+
+def all_exist(wanted: DataFrame, there: DataFrame, key: str) -> DataFrame:
+    """One row, ``all_there``: whether every wanted key is there; false for no key at all."""
+    marked = wanted.join(there.select(key).distinct().withColumn("_there", F.lit(True)), key, "left")
+    return marked.agg(F.coalesce(F.bool_and(F.coalesce("_there", F.lit(False))), F.lit(False)).alias("all_there"))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import scalars, vocab
-from strandline.operators import accounts, deletion, delivery, nudges, observation, questionnaire, snapshots
+from strandline.operators import accounts, deletion, delivery, nudges, observation, questionnaire, reports, snapshots
 from strandline.plans import standins as S
 from strandline.plans.standins import ANSWERS_SQL, BACKLOG_SQL, HISTORY_SQL, USERS_SQL, now, stamp
-from strandline.sources.readers import table
+from strandline.sources.readers import collections_of, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -458,3 +458,134 @@ def cascade_delete(spark, sf_dir):
         n = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         out = n if out is None else out.unionByName(n)
     return out
+
+
+# --- keyed writes ---
+
+
+def _customers(spark, sf_dir):
+    """Two versions of a table: the first without every seventh key, the second with every third changed or cleared."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    old = c.where(k % 7 != 0).select(k.alias("k"), F.col("c_name").alias("v"), F.col("c_mktsegment").alias("w"))
+    new = c.where(k % 3 == 0).select(k.alias("k"), F.when(k % 2 == 0, F.concat(F.lit("new "), F.col("c_name"))).alias("v"), F.lit("W").alias("w"))
+    return old, new
+
+
+_WRITES_SQL = """old AS (SELECT c_custkey AS k, c_name AS v, c_mktsegment AS w FROM customer WHERE c_custkey % 7 <> 0),
+new AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'new ' || c_name END AS v, 'W' AS w FROM customer WHERE c_custkey % 3 = 0)"""
+
+
+@query(f"WITH {_WRITES_SQL} SELECT * FROM new UNION ALL SELECT * FROM old WHERE k NOT IN (SELECT k FROM new)")
+def keyed_overwrite(spark, sf_dir):
+    return accounts.overwrite(*_customers(spark, sf_dir), ["k"])
+
+
+@query(f"WITH {_WRITES_SQL} SELECT coalesce(o.k, n.k) AS k, coalesce(n.v, o.v) AS v, coalesce(n.w, o.w) AS w FROM old o FULL JOIN new n ON o.k = n.k")
+def keyed_merge(spark, sf_dir):
+    return accounts.merge(*_customers(spark, sf_dir), ["k"])
+
+
+@query(f"WITH {_WRITES_SQL} SELECT * FROM old UNION ALL SELECT * FROM new WHERE k NOT IN (SELECT k FROM old)")
+def keyed_create(spark, sf_dir):
+    return accounts.create_if_absent(*_customers(spark, sf_dir), ["k"])
+
+
+@query(f"""WITH {_WRITES_SQL} SELECT o.k, o.v, CASE WHEN n.k IS NULL THEN o.w ELSE n.w END AS w, false AS missing FROM old o LEFT JOIN new n ON o.k = n.k
+UNION ALL SELECT k, NULL, w, true FROM new WHERE k NOT IN (SELECT k FROM old)""")
+def keyed_update(spark, sf_dir):
+    """Updates one field of the rows that are there; keys that aren't come out as missing."""
+    old, new = _customers(spark, sf_dir)
+    updated, missing = accounts.partial_update(old, new.select("k", "w"), ["k"])
+    return updated.select("k", "v", "w", F.lit(False).alias("missing")).unionByName(missing.select("k", F.lit(None).cast("string").alias("v"), "w", F.lit(True).alias("missing")))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
+def latest_row(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
+    return accounts.latest(rows, "o_custkey", "o_orderdate", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus", stamp(F.col("o_orderdate")).alias("at"))
+
+
+# --- more of planning, delivery and deletion ---
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, {_DUE_SQL}
+SELECT (SELECT count(*) FROM backlog JOIN users USING (user_id) WHERE zone IS NOT NULL AND NOT disabled AND NOT withdrawn) AS total_processed, (SELECT count(*) FROM due) AS total_due, (SELECT count(*) FROM due WHERE coalesce(token, '') <> '') AS total_sent""")
+def delivery_counters(spark, sf_dir):
+    rows, people = S.backlog(spark, sf_dir), S.users(spark, sf_dir)
+    return delivery.counters(rows, people, now(), delivery.archived(delivery.due(rows, people, now()), now()))
+
+
+@query("""WITH q AS (SELECT event_id, event_id % 13 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 17 = 0 OR event_id % 5 = 0 AS bad, CAST(user_id AS VARCHAR) AS u, CAST(event_id - event_id % 3 AS VARCHAR) AS doc, event_id % 5 - 1 AS n FROM events WHERE event_type IN ('error', 'signup')),
+r AS (SELECT *, EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND CAST(v.user_id AS VARCHAR) = q.u AND CAST(v.event_id AS VARCHAR) = q.doc) AS hit FROM q)
+SELECT count(*) AS processed, count(*) FILTER (WHERE NOT bad AND hit) AS succeeded, count(*) FILTER (WHERE NOT bad AND NOT hit AND n + 1 < 3) AS requeued, count(*) FILTER (WHERE NOT bad AND NOT hit AND n + 1 >= 3) AS dead_lettered, count(*) FILTER (WHERE bad) AS skipped FROM r""")
+def queue_run_summary(spark, sf_dir):
+    there = table(spark, sf_dir, "events").where("event_type = 'view'").select(F.col("user_id").cast("string").alias("user_id"), F.lit("HealthObservations_Steps").alias("collection"), F.col("event_id").cast("string").alias("id"))
+    return deletion.run_summary(deletion.tick(_queue(spark, sf_dir), there, now()))
+
+
+_CONTEXT_AGE = "CAST(2024 - year(o_orderdate) - CASE WHEN 3 < month(o_orderdate) OR (3 = month(o_orderdate) AND 7 < day(o_orderdate)) THEN 1 ELSE 0 END AS INTEGER)"
+
+
+@query(f"""SELECT o_orderkey AS user_id, {_CONTEXT_AGE} + 20 AS age, CASE WHEN {_CONTEXT_AGE} + 20 < 35 THEN 'under_35' WHEN {_CONTEXT_AGE} + 20 <= 50 THEN '35_to_50' WHEN {_CONTEXT_AGE} + 20 <= 65 THEN '51_to_65' ELSE 'over_65' END AS age_band,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Diabetes; Heart failure' WHEN 1 THEN '' END AS diseases, CASE o_orderkey % 4 WHEN 0 THEN 'Maintenance' WHEN 1 THEN 'Precontemplation' WHEN 2 THEN 'Action' END AS stage,
+  CASE o_orderkey % 5 WHEN 0 THEN 'basic' WHEN 1 THEN 'advanced' WHEN 2 THEN 'basic' END AS reading_level, CASE WHEN o_orderkey % 6 = 0 THEN 'own words' WHEN o_orderkey % 7 = 0 THEN 'prefer not to state' WHEN o_orderkey % 7 = 5 THEN 'other' WHEN o_orderkey % 7 = 1 THEN 'male' WHEN o_orderkey % 7 = 2 THEN 'female' WHEN o_orderkey % 7 = 3 THEN 'trans female' WHEN o_orderkey % 7 = 4 THEN 'trans male' END AS gender,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'es' ELSE 'en' END AS language FROM orders""")
+def personal_context(spark, sf_dir):
+    """The order date, twenty years earlier, as date of birth; keys that no table knows fall to the defaults."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        k.alias("user_id"), F.col("o_orderdate").alias("dateOfBirth"), F.when(k % 3 == 0, F.create_map(F.lit("heartFailure"), F.lit("1"), F.lit("diabetes"), F.lit("1"), F.lit("hypertension"), F.lit("1"))).when(k % 3 == 1, F.create_map(F.lit("hypertension"), F.lit("1"))).alias("comorbidities"),
+        F.when(k % 4 == 0, "B").when(k % 4 == 1, "c").when(k % 4 == 2, "f").otherwise("z").alias("stageOfChange"), F.when(k % 5 == 0, "vocationalTraining").when(k % 5 == 1, "master").when(k % 5 == 3, "associate").alias("educationUS"), F.when(k % 5 <= 2, "gradeSchool").alias("educationUK"),
+        F.when(k % 6 == 0, "own words").alias("genderIdentity"), (k % 7).cast("int").alias("mhcGenderIdentity"), F.when(k % 2 == 0, "es").when(k % 4 == 1, "de").alias("userLanguage"),
+    )
+    parts = nudges.personal_context(F.to_timestamp(F.lit("2044-03-07 08:00:00")))
+    return rows.select("user_id", *(c.cast("int").alias(n) if n == "age" else c.alias(n) for n, c in parts.items()))
+
+
+TEMPLATES = [
+    {"type": "vitals", "title": "Vitals", "description": "@0, please measure", "due_days": 1},
+    {"type": "inactive", "title": "Inactive", "description": "We miss you, @0", "action": "open", "dismissible": True},
+]
+
+
+@query("""SELECT c_custkey AS user_id, t.type, t.title, replace(t.d, '@0', coalesce(CASE WHEN c_custkey % 4 <> 0 THEN c_name END, 'Patient')) AS description, t.action, t.dismissible, t.due
+FROM customer, (VALUES ('vitals', 'Vitals', '@0, please measure', NULL, false, '2024-03-08 08:00:00'), ('inactive', 'Inactive', 'We miss you, @0', 'open', true, NULL)) t(type, title, d, action, dismissible, due)""")
+def message_fanout(spark, sf_dir):
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_name")).alias("displayName"))
+    made = reports.messages(people, TEMPLATES, now())
+    return made.select("user_id", "type", F.col("title")["en"].alias("title"), F.col("description")["en"].alias("description"), "action", F.col("isDismissible").alias("dismissible"), stamp(F.col("dueDate")).alias("due"))
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS id, 'New ' || doc_id AS subject, 'From ' || doc_id || chr(10) || 'lang: ' || lang || CASE WHEN doc_id % 2 = 0 THEN chr(10) || 'source: ' || source ELSE '' END AS text FROM documents""")
+def feedback_report(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang", F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("source"))
+    return reports.feedback_report(rows, ["lang", "source"], "New @0", "From @0")
+
+
+@query(f"WITH {USERS_SQL} SELECT user_id, n * 40 + 60.0 AS value, strftime({NOW_SQL} - to_days(CAST(day AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS at FROM users, (VALUES (0, 1), (1, 3), (2, 0)) t(day, n)")
+def heart_rate_series(spark, sf_dir):
+    return reports.heart_rate_series(S.users(spark, sf_dir), [1, 3, 0], now()).select("user_id", "value", stamp(F.col("date")).alias("at"))
+
+
+@query("SELECT DISTINCT event_type AS collection FROM events WHERE user_id = 7")
+def child_collections(spark, sf_dir):
+    """The collections that one user has."""
+    return collections_of(table(spark, sf_dir, "events").withColumnRenamed("event_type", "collection"), 7)
+
+
+@query("SELECT count(*) > 0 AS all_there FROM nation HAVING bool_and(n_regionkey IN (SELECT r_regionkey FROM region))")
+def all_exist(spark, sf_dir):
+    """Whether every file of a list is there: here every nation's region."""
+    wanted = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("file"))
+    there = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("file"))
+    return accounts.all_exist(wanted, there, "file")
+
+
+@query(f"WITH {USERS_SQL} SELECT u.user_id, grp AS group FROM users u WHERE user_id % 5 = 0".replace("AS group", 'AS "group"'))
+def enroll_absent(spark, sf_dir):
+    """Requests of users of whom four fifths are enrolled already."""
+    people = S.users(spark, sf_dir)
+    requests = people.select("user_id").unionByName(people.select("user_id"))
+    fresh = accounts.enroll(people.where("user_id % 5 <> 0"), requests, now(), F.col("user_id") % 3)
+    return fresh.select("user_id", F.col("participantGroup").alias("group"))
