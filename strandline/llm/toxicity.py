@@ -115,9 +115,12 @@ def train(values: list[str], labels: list[int]) -> Model:
     flat, number, doc = sentences(which, stop)
     present = np.unique(np.repeat(np.arange(len(values)), [len(w) for w in which]) * len(words) + flat)
     docs, seen = present // len(words), present % len(words)
-    pairs = np.unique((docs[:, None] * (BUCKETS + 1) + buckets[seen]).ravel())
-    docs, feature = pairs // (BUCKETS + 1), pairs % (BUCKETS + 1)
-    hits = [np.bincount(feature[y[docs] == k], minlength=BUCKETS + 1) for k in (False, True)]
+    hits = [np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)]
+    for k in range(buckets.shape[1]):  # in how many texts of each class a feature is
+        pairs = np.unique(docs * (BUCKETS + 1) + buckets[seen, k])
+        for c in (0, 1):
+            hits[c] += np.bincount((pairs % (BUCKETS + 1))[y[pairs // (BUCKETS + 1)] == c], minlength=BUCKETS + 1)
+    del present, docs, seen, pairs
     odds = np.log((hits[1] + 0.5) / (y.sum() + 1)) - np.log((hits[0] + 0.5) / ((~y).sum() + 1))
     odds[hits[0] + hits[1] == 0] = 0
     w = np.where(hits[1] > 1, np.clip(odds - 2, 0, 6), 0) / 2
