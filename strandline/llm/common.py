@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import re
+import shutil
+import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -66,27 +71,33 @@ class Codes(dict):
         return n
 
 
+@cache
+def _own_dir() -> str:
+    path = tempfile.mkdtemp(prefix="strandline-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in a local session without it one below the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of its own for a session in one process, else one below the warehouse."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        alone = re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master)
+        at = _own_dir() if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     return at.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame as Parquet below the shared folder and reads it back, which cuts its lineage: a lost executor costs no recomputation."""
-    import uuid
-
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
+def discard(*frames: DataFrame) -> None:
     """Removes what ``materialize`` wrote."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for path in {re.sub(r"/part-[^/]*$", "", f) for f in df.inputFiles()}:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    for df in frames:
+        spark = df.sparkSession
+        for path in {re.sub(r"/part-[^/]*$", "", f) for f in df.inputFiles()}:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

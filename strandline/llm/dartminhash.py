@@ -297,7 +297,10 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     more = similar(proposals(members.where(F.col("size") <= SMALL)), cells, least)
     chunk = F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))
     large = members.where(F.col("size") > SMALL).join(cells, "key").select("band", chunk.alias("chunk"), "key", "label", "sketch", "cells")
-    labels = components(edges.union(materialize(more.union(resolved(large, least)), "links")))
+    found = materialize(more.union(resolved(large, least)), "links")
+    discard(labels, members)
+    labels = components(edges.union(found))
+    discard(nodes, shared, pairs, cells, edges, found)
     return labels.select(F.col("node").alias("key"), F.col("label").alias("class_key"))
 
 

@@ -60,7 +60,7 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""(?:^|(?<=[\s"'/]))(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
-NAME_PARTS = re.compile(r"[a-z]+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in RAW}
 
 
@@ -70,11 +70,13 @@ def _dropped(tag: str, attributes: str) -> bool:
     if not attributes:
         return False
     for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            if tag not in KEPT and not BOILERPLATE.isdisjoint(NAME_PARTS.findall(value)):
+            if tag not in KEPT and not BOILERPLATE.isdisjoint(map(str.lower, NAME_PARTS.findall(value))):
                 return True
-        elif name == "role":
+            continue
+        value = value.lower()
+        if name == "role":
             if tag not in KEPT and value in DROPPED_ROLES:
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):

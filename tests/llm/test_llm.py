@@ -424,6 +424,7 @@ PAGES = {
     f"<body><header>H</header><article><p>One<aside>no</aside><form><p>no</form><p>{LONG}</article><footer><p>{LONG}</footer>": f"One\n\n{LONG.strip()}",
     f"<body><script>if (a < b) '</p>'</script><article><p>x &lt;b&gt; <b>bold</b><style>p{{}}</style> y<ul><li>i<li>j</ul></article>": "x <b> bold y\n\ni\n\nj",
     '<body><div role="navigation"><p>menu</div><article hidden><p>no</article><article><p>yes</article>': "yes",
+    '<body><div class="readerComments"><p>no</div><div id=cookie-notice>no</div><p class="admirable">fine</p>': "fine",
     '<article><p title="a > b">quoted</p><p>cut <a href="': "quoted\n\ncut",
 }
 
