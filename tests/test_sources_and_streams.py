@@ -85,3 +85,27 @@ def test_streamed_scores(spark, tmp_path):
     feed = jobs.changes(spark, str(tmp_path / "in"), "path string, after string")
     jobs.score_feed(feed, lambda df: questionnaire.nicotine_score(df, F.col("after")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [(r["path"], r["score"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("p", 0)]
+
+
+def drained(query):
+    query.awaitTermination(90)
+    assert query.exception() is None
+
+
+def test_enqueueing_again_changes_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = [("a", "2024-01-01T00:00:00Z"), ("b", "2024-01-01T01:00:00Z"), ("a", "2024-01-01T02:00:00Z")]
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps({"k": k, "t": t}) for k, t in rows))
+    feed = jobs.changes(spark, str(tmp_path / "in"), "k string, t timestamp")
+    drained(jobs.once_each(feed, ["k"], "t").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start())
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_requests_meet_samples_that_arrive_later(spark, tmp_path):
+    for name, row in (("r", {"requested_at": "2024-01-01T00:00:00Z"}), ("s", {"arrived_at": "2024-01-01T20:00:00Z"})):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "1.json").write_text(json.dumps({"user_id": "u", "collection": "c", "id": "1"} | row))
+    keys = "user_id string, collection string, id string, "
+    joined = jobs.late_matches(jobs.changes(spark, str(tmp_path / "r"), keys + "requested_at timestamp"), jobs.changes(spark, str(tmp_path / "s"), keys + "arrived_at timestamp"))
+    drained(joined.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start())
+    assert [r["arrived_at"].hour for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [20]
