@@ -34,6 +34,7 @@ WINDOW, UNIT, DEPTH = 2048, 16, 3
 BLOCK_TOKENS = 8 << 20
 LEAST_FILL = 16  #: gaps below this stay padding
 CACHED_CHUNKS = 600_000
+MARK = "\x01"
 
 
 @cache
@@ -150,6 +151,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self._ids(MARK)
         self._forget()
 
     def _forget(self) -> None:
@@ -158,13 +160,23 @@ class ChunkEncoder:
         self.bounds = np.zeros(1, np.int64)
 
     def _learn(self) -> None:
-        """Encodes the chunks that got a code since the last time."""
+        """Encodes the chunks that got a code since the last time, many as one text: a mark that is one token stands between them."""
         new = list(islice(self.codes, len(self.bounds) - 1, None))
         for i in range(0, len(new), 20_000):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in new[i : i + 20_000]], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            part = new[i : i + 20_000]
+            ids = self._ids((" " + MARK + " ").join([c.decode() for c in part]))
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) == len(part) - 1:
+                sizes = np.diff(cuts, prepend=-1, append=len(ids)) - 1
+                ids = ids[ids != self.mark]
+            else:  # a chunk holds the mark itself
+                each = [self._ids(c.decode()) for c in part]
+                sizes, ids = np.fromiter(map(len, each), np.int64, len(each)), np.concatenate(each)
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
         if len(self.codes) > CACHED_CHUNKS:
@@ -178,7 +190,7 @@ class ChunkEncoder:
         out = []
         for v, w in zip(values, which, strict=True):
             if w is None:
-                out.append(np.array(self.tokenizer.encode(v, add_special_tokens=False).ids, np.uint16))
+                out.append(self._ids(v))
                 continue
             begins = self.bounds[w]
             sizes = self.bounds[w + 1] - begins
