@@ -503,23 +503,28 @@ def test_search_with_long_lists_and_odd_texts(spark):
     assert topk.search(topk.build(df.where("false")), df).count() == 0
 
 
-def test_wand_skips_and_stays_exact():
+def test_blocks_are_skipped_and_results_stay_exact():
     rng = np.random.default_rng(4)
-    n, lists = 20_000, []
-    for share in (0.5, 0.2, 0.02, 0.001):
-        at = np.flatnonzero(rng.random(n) < share)
-        p = np.zeros(len(at), topk.POSTING)
-        p["doc"], p["at"], p["tf"], p["dl"] = at, at, rng.integers(1, 9, len(at)), rng.integers(10, 300, len(at))
-        lists.append((-math.log(share), p))
-    scored = np.zeros(n)
-    for w, p in lists:
-        source = topk._Postings(100.0, p.tobytes(), None)
-        scored[p["at"]] += [w * source.part(int(t), int(d)) for t, d in zip(p["tf"], p["dl"], strict=True)]
-    best: list = []
-    cursors = [topk._List(w, topk._Postings(100.0, p.tobytes(), topk.bounds_of(p))) for w, p in lists]
-    topk.wand(cursors, 10, best)
-    order = sorted(range(n), key=lambda d: (-scored[d], d))[:10]
-    assert [-d for _, d in sorted(best, key=lambda e: (-e[0], -e[1]))] == order
+    n = 20_000
+    which = [np.flatnonzero(rng.random(6) < (0.9, 0.5, 0.2, 0.02, 0.002, 0.001)).repeat(rng.integers(1, 4)) for _ in range(n)]
+    hashes = rng.integers(-(2**62), 2**62, 6)
+    lengths = np.array([len(w) for w in which], np.uint32)
+    terms, begins, ats, tfs = topk.invert(which, hashes)
+    shard = topk.Shard(float(lengths.mean()), np.arange(n), lengths, terms, begins, ats, tfs)
+    weights = [topk.idf(n, float(x)) ** 2 for x in np.diff(begins)]  # rare terms decide
+    plain = np.zeros(n)
+    for i, w in enumerate(weights):
+        at, parts, _, _ = shard.list(i)
+        plain[at] += w * parts
+    order = sorted(range(n), key=lambda d: (-plain[d], d))[:10]
+    scored = []
+    score = shard._score
+    shard._score = lambda held, live, *rest: (scored.append(live.sum()), score(held, live, *rest))[1]
+    scores, docs = shard.search(list(range(6)), weights, 10, np.empty(0), np.empty(0, np.int64))
+    assert docs.tolist() == order and np.array_equal(scores, plain[order]) and not shard.scores.any()
+    assert sum(scored) < shard.blocks
+    again = shard.search(list(range(6)), weights, 10, scores + 1, docs + n)
+    assert np.array_equal(again[1], docs + n) or again[0][-1] >= scores[0]
 
 
 # --- 10 ---
