@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -322,7 +323,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The rows of ``df``, all columns, one of each class: that of the least id."""
     signed = materialize(sign(df, id_col, text_col), "signed")
-    kept = materialize(_classes(signed, least).select("kept.doc_id", "kept.text_hash").distinct(), "kept").toDF("_kept_id", "_kept_hash")
-    marked = df.withColumns({"_row_hash": F.xxhash64(F.col(f"`{text_col}`"))})
-    rows = marked.join(kept, (marked[id_col].eqNullSafe(kept["_kept_id"])) & (marked["_row_hash"] == kept["_kept_hash"]))
-    return rows.dropDuplicates([id_col, "_row_hash"]).select(*(F.col(f"`{c}`") for c in df.columns))
+    kept_id, kept_hash, row_hash = (f"_{uuid.uuid4().hex}" for _ in range(3))  # no column of ``df`` has such a name
+    kept = materialize(_classes(signed, least).select("kept.doc_id", "kept.text_hash").distinct(), "kept").toDF(kept_id, kept_hash)
+    marked = df.withColumn(row_hash, F.xxhash64(F.col(f"`{text_col}`")))
+    rows = marked.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (F.col(row_hash) == F.col(kept_hash)))
+    return rows.dropDuplicates([id_col, row_hash]).select(*(F.col(f"`{c}`") for c in df.columns))
