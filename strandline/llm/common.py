@@ -17,15 +17,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one block handed to Python code holds, unless one text is longer.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
+#: Rows of an Arrow batch at most. Texts are long: Spark's default of 10,000 rows would hold tens of MB, several times over, in each task.
+ARROW_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch to ARROW_ROWS; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: str) -> DataFrame:
     """Only the named columns, as doc_id, text and the names in ``more``; others can't clash."""
+    short_batches(df.sparkSession)
     cols = {"doc_id": id_col, "text": text_col} | more
     return df.select(*(F.col(f"`{c}`").alias(n) for n, c in cols.items()))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Codes, blocks, fold, strings, texts
+from strandline.llm.common import Codes, blocks, fold, short_batches, strings, texts
 
 # First code points of script ranges, in order, and the script from there on.
 SCRIPTS = (
@@ -259,4 +259,5 @@ def keep_identified(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
         for block in blocks(batches, text_col):
             yield block.filter(pa.array([lang != "und" for lang, _ in predict(model, strings(block, text_col))], pa.bool_()))
 
+    short_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)

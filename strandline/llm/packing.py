@@ -33,7 +33,7 @@ from strandline.llm.common import Codes, blocks, strings, texts
 WINDOW, UNIT, DEPTH = 2048, 16, 3
 BLOCK_TOKENS = 8 << 20
 LEAST_FILL = 16  #: gaps below this stay padding
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 450_000
 MARK = "\x01"
 
 

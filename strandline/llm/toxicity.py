@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Codes, blocks, fold, strings, texts, trim
+from strandline.llm.common import Codes, blocks, fold, short_batches, strings, texts, trim
 
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = ".!?\n"
@@ -202,4 +202,5 @@ def keep_clean(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         for block in blocks(batches, text_col):
             yield block.filter(pa.array([p < 0.5 for p in noisy_or(model, strings(block, text_col))], pa.bool_()))
 
+    short_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
