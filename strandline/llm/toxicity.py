@@ -63,7 +63,7 @@ class Model:
 
 def sentences(which: list[np.ndarray], stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words of all texts, the sentence of each, and the text of each sentence. ``stop`` says which codes end a sentence."""
-    sizes = np.array([len(w) for w in which])
+    sizes = np.array([len(w) for w in which], np.int64)
     flat = np.concatenate([*which, np.empty(0, np.int64)])
     starts = np.zeros(len(flat), np.int64)
     if len(flat):
@@ -96,7 +96,7 @@ def softplus(z: np.ndarray) -> np.ndarray:
 
 def noisy_or(model: Model, values: list[str]) -> list[float]:
     """The probability of each text."""
-    if not model.fitted:
+    if not model.fitted or not values:
         return [0.0] * len(values)
     which, words, stop = coded(values)
     flat, number, doc = sentences(which, stop)
