@@ -503,6 +503,36 @@ def test_search_with_long_lists_and_odd_texts(spark):
     assert topk.search(topk.build(df.where("false")), df).count() == 0
 
 
+def test_search_asks_with_all_terms_of_a_text(spark):
+    rng = np.random.default_rng(5)
+    values = [" ".join(f"t{int(x)}" for x in rng.zipf(1.2, int(rng.integers(60, 300))) if x < 2000) for _ in range(700)]
+    df = documents(spark, values).repartition(2)
+    queries = list(range(0, len(values), 17))
+    rows = topk.search(topk.build(df), df.where(F.col("doc_id").isin(queries))).collect()
+    whole = plain_search(list(enumerate(values)), queries, most=None)
+    assert whole != plain_search(list(enumerate(values)), queries, most=16)
+    same_hits(rows, whole)
+
+
+def test_long_queries_leave_lists_unread_and_results_stay_exact():
+    rng = np.random.default_rng(6)
+    n, m = 3_000, 200
+    share = 0.6 / np.arange(1, m + 1)
+    which = [np.flatnonzero(rng.random(m) < share).repeat(rng.integers(1, 3)) for _ in range(n)]
+    terms, begins, ats, tfs = topk.invert(which, rng.integers(-(2**62), 2**62, m))
+    shard = topk.Shard(9.0, np.arange(n), np.array([len(w) for w in which], np.uint32), terms, begins, ats, tfs)
+    weights = [topk.idf(n, float(x)) for x in np.diff(begins)]
+    plain = np.zeros(n)
+    for i, w in enumerate(weights):
+        at, parts, *_ = shard.list(i)
+        plain[at] += w * parts
+    order = sorted(range(n), key=lambda d: (-plain[d], d))[:10]
+    read, sums = [], shard._sums
+    shard._sums = lambda lists, w, which: (read.append(len(which)), sums(lists, w, which))[1]
+    scores, docs = shard.search(range(m), weights, 10, np.empty(0), np.empty(0, np.int64))
+    assert docs.tolist() == order and np.array_equal(scores, plain[order]) and max(read) < m
+
+
 def test_blocks_are_skipped_and_results_stay_exact():
     rng = np.random.default_rng(4)
     n = 20_000
