@@ -15,8 +15,10 @@ where a bucket still holds several components, its members outside of the larges
 compared with all members of other components whose signatures agree with theirs in
 LEAST_AGREEMENT coordinates or more. Small buckets give such pairs to the join; the members
 of a bucket of more than SMALL are dealt into chunks with their sets, compared within the
-chunk's task, and leave it as links that join components, one for each join at most. Equal
-texts (by their words) are one node from the start.
+chunk's task, and leave it as links that join components, one for each join at most. Where a bucket
+of more than CHUNK still holds several components after that, those of its members that are outside
+of the largest are compared with all others, chunk by chunk, so that no pair of a bucket is left out.
+Equal texts (by their words) are one node from the start.
 
 Elements are compared by 32-bit fingerprints, which shifts a similarity by less than 1e-4.
 
@@ -247,31 +249,71 @@ def proposals(members: DataFrame) -> DataFrame:
     return members.groupBy("band").applyInArrow(run, "a binary, b binary").distinct()
 
 
+def _joined(group: pa.Table, pairs: Iterator[tuple[int, np.ndarray]], least: float) -> pa.Table:
+    """Those of the pairs that are similar, as far as they join components of the group."""
+    keys, cells, labels = (group.column(c).to_pylist() for c in ("key", "cells", "label"))
+    parent = {x: x for x in labels}
+
+    def root(x: bytes) -> bytes:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for i, others in pairs:
+        for j in others.tolist():
+            x, y = root(labels[i]), root(labels[j])
+            if x != y and jaccard(cells[i], cells[j]) >= least:
+                parent[x] = y
+                found.append((keys[i], keys[j]))
+    return _pairs([x for x, _ in found], [y for _, y in found])
+
+
 def resolved(members: DataFrame, least: float) -> DataFrame:
     """Links between components within chunks of large buckets. members: band, chunk, key, label, sketch, cells."""
 
     def run(group: pa.Table) -> pa.Table:
-        keys, cells, labels = (group.column(c).to_pylist() for c in ("key", "cells", "label"))
-        parent = {x: x for x in labels}
-
-        def root(x: bytes) -> bytes:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        found = []
-        for i, others in _across(group):
-            for j in others.tolist():
-                x, y = root(labels[i]), root(labels[j])
-                if x != y and jaccard(cells[i], cells[j]) >= least:
-                    parent[x] = y
-                    found.append((keys[i], keys[j]))
-        return _pairs([x for x, _ in found], [y for _, y in found])
+        return _joined(group, _across(group), least)
 
     return members.groupBy("band", "chunk").applyInArrow(run, "a binary, b binary")
 
 
+def _between(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """As ``_across``, of the rows that ask with those that are asked."""
+    sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
+    codes = Codes()
+    number = np.array([codes[x] for x in group.column("label").to_pylist()])
+    keys = group.column("key").to_pylist()
+    places = {x: n for n, x in enumerate(sorted(set(keys)))}
+    place = np.array([places[x] for x in keys])
+    asks, outside = (group.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "outside"))
+    asked = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks).tolist():
+        agree = np.count_nonzero(sketches[asked] == sketches[i], axis=1)
+        maybe = np.flatnonzero((agree >= LEAST_AGREEMENT) & (number[asked] != number[i]) & (~outside[asked] | (place[asked] < place[i])))
+        if len(maybe):
+            yield i, asked[maybe[np.argsort(-agree[maybe], kind="stable")]]
+
+
+def finished(members: DataFrame, cells: DataFrame, least: float) -> DataFrame:
+    """Links between components of buckets of several chunks, across all pairs of chunks. members: band, key, label, sketch."""
+
+    def run(group: pa.Table) -> pa.Table:
+        return _joined(group, _between(group), least)
+
+    by_label = members.groupBy("band", "label").count()
+    tops = by_label.groupBy("band").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("size"))
+    tops = tops.select("band", F.col("top.label").alias("top"), (F.col("size") - F.col("top.count")).alias("others"), "size").where("others > 0")
+    marked = members.join(tops, "band").withColumn("outside", F.col("label") != F.col("top")).join(cells, "key")
+    rows, columns = (F.ceil(F.col(c) / CHUNK).cast("long") for c in ("others", "size"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    cols = ["band", "key", "label", "sketch", "cells", "outside"]
+    asking = marked.where("outside").select(*cols, F.lit(True).alias("asks"), F.pmod(F.xxhash64("key"), rows).alias("row"), each(columns).alias("column"))
+    asked = marked.select(*cols, F.lit(False).alias("asks"), F.pmod(F.xxhash64("key"), columns).alias("column"), each(rows).alias("row"))
+    return asking.unionByName(asked).groupBy("band", "row", "column").applyInArrow(run, "a binary, b binary")
+
+
 def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """key and class_key of every text that is alike to a different one. ``signed`` must be materialized."""
     nodes = materialize(signed.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
@@ -287,8 +329,9 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     pairs = materialize(shared.where("key <> center").select(*order("key", "center")).distinct(), "pairs")
     # One copy of a text stands for all; joined by its id too, so that a text of many copies is no hot key.
-    wanted = shared.select("key", F.col("first").alias("doc_id")).distinct()
-    cells = signed.select("key", "doc_id", "cells").join(wanted, ["key", "doc_id"], "left_semi").groupBy("key", "doc_id").agg(F.any_value("cells").alias("cells"))
+    wanted = shared.select(F.col("key").alias("wanted_key"), "first").distinct()
+    one = (F.col("key") == F.col("wanted_key")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    cells = signed.select("key", "doc_id", "cells").join(wanted, one, "left_semi").groupBy("key", "doc_id").agg(F.any_value("cells").alias("cells"))
     cells = materialize(cells.select("key", "cells"), "cells")
     edges = materialize(similar(pairs, cells, least), "links")
     labels = components(edges)
@@ -299,9 +342,14 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     chunk = F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))
     large = members.where(F.col("size") > SMALL).join(cells, "key").select("band", chunk.alias("chunk"), "key", "label", "sketch", "cells")
     found = materialize(more.union(resolved(large, least)), "links")
-    discard(labels, members)
+    discard(labels)
     labels = components(edges.union(found))
-    discard(nodes, shared, pairs, cells, edges, found)
+    several = members.where(F.col("size") > CHUNK).drop("label").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    last = materialize(finished(several.select("band", "key", "label", "sketch"), cells, least), "links")
+    if last.limit(1).count():
+        discard(labels)
+        labels = components(edges.union(found).union(last))
+    discard(nodes, shared, pairs, cells, edges, found, members, last)
     return labels.select(F.col("node").alias("key"), F.col("label").alias("class_key"))
 
 

@@ -370,6 +370,24 @@ def test_viterbi_equals_a_plain_one():
 
 # --- 7 ---
 
+def test_twins_in_a_bucket_of_many_chunks_and_without_an_id(spark):
+    rng = np.random.default_rng(8)
+    n, twins = 2_200, 20
+    rows, places = [], {}
+    for i in range(n):
+        twin = i - twins if twins <= i < 2 * twins else None
+        cells = rng.choice(2**32, 90, replace=False).astype(np.uint32) if twin is None else np.concatenate([places[twin][0][:81], np.arange(9, dtype=np.uint32)])
+        sketch = rng.integers(0, 256, 64).astype(np.uint8) if twin is None else places[twin][1]
+        places[i] = cells, sketch
+        bands = [7, *rng.integers(-(2**62), 2**62, dartminhash.BANDS - 1).tolist()]  # a pair shares this one bucket alone
+        rows.append((None if i == 3 else i, 0, i.to_bytes(16, "big"), bands, sketch.tobytes(), np.unique(cells).tobytes()))
+    signed = common.materialize(spark.createDataFrame(rows, dartminhash.SIGNED_SCHEMA), "signed")
+    by = collections.defaultdict(set)
+    for r in dartminhash.classify(signed).collect():
+        by[r["class_key"]].add(int.from_bytes(r["key"], "big"))
+    assert sorted(map(sorted, by.values())) == [[i, i + twins] for i in range(twins)]
+
+
 ROLES = ["user", "assistant", "system", None, "a\nb", "<|im_end|>"]
 
 
