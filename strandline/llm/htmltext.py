@@ -5,8 +5,8 @@ class (menus, footers, adverts, forms, comments ...) are left out. Every remaini
 gets a link-adjusted number of characters per tag; a node's density sum is the sum of
 its children's densities. The node of the largest sum gives the threshold: the least
 density on its path to the body. Walking down from the body through nodes that reach
-the threshold, the largest-sum subtree of each is main text. If the node of the largest
-sum lies in an article or main element, that element is the main text.
+the threshold, the largest-sum subtree of each is main text. A subtree that lies in an
+article or main element is widened to the outermost such element.
 
 Cases: null or empty html gives an empty text; broken and cut markup is read as far as
 it goes; very long pages are read whole; repeated rows are kept, each by itself.
@@ -225,22 +225,22 @@ def chosen(tree: Tree) -> list[int]:
         if i != body and total[best_below[i]] >= total[best_below[p]]:
             best_below[p] = best_below[i]
     best = best_below[body]
-    landmark, threshold, i = -1, density[best], best
+    threshold, i = density[best], best
     while True:
         threshold = min(threshold, density[i])
-        if tree.tags[i] in LANDMARKS:
-            landmark = i
         if i == body:
             break
         i = tree.parents[i]
-    if landmark >= 0:
-        return [landmark]
+    landmark = [-1] * n  # the outermost article or main element that a node is or lies in
+    for i in nodes:
+        above = landmark[tree.parents[i]] if i != body else -1
+        landmark[i] = above if above >= 0 else i if tree.tags[i] in LANDMARKS else -1
     marked, todo = set(), [body]
     while todo:
         i = todo.pop()
         if density[i] < threshold or not density[i]:
             continue
-        marked.add(best_below[i])
+        marked.add(landmark[best_below[i]] if landmark[best_below[i]] >= 0 else best_below[i])
         todo += [x for x in tree.content[i] if not isinstance(x, str)]
     return sorted(marked)
 

@@ -458,6 +458,11 @@ def test_density_finds_the_article_without_a_landmark():
     assert htmltext.main_text(page) == "\n\n".join([LONG.strip()] * 3)
 
 
+def test_every_article_over_the_threshold_is_kept():
+    page = "<body><nav>menu</nav>" + "".join(f"<article><h2>Part {k}</h2><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>" for k in range(3)) + "<footer>end</footer>"
+    assert htmltext.main_text(page) == "\n\n".join(x for k in range(3) for x in (f"Part {k}", *[LONG.strip()] * 3))
+
+
 def test_pages(spark, data):
     import html
 
