@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree. Subtrees that are never main text by their tag, role or
-class (menus, footers, adverts, forms, comments ...) are left out. Every remaining node
+A page is parsed into a tree. Subtrees that are never main text by their tag, role, class
+or id (menus, footers, adverts, forms, comments ...) are left out. Ids of headings are slugs
+of their words and tell nothing; ids of sections, and in an article or main element names
+that hold such a word only as a part, count where half of the characters are links. Every remaining node
 gets a link-adjusted number of characters per tag; a node's density sum is the sum of
 its children's densities. The node of the largest sum gives the threshold: the least
 density on its path to the body. Walking down from the body through nodes that reach
@@ -59,29 +61,46 @@ TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^'\">])*+)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""(?:^|(?<=[\s"'/]))(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in RAW}
 
 
-def _dropped(tag: str, attributes: str) -> bool:
+KEEP, DROP, DOUBT = range(3)
+
+
+def _verdict(tag: str, attributes: str, names: list[str]) -> int:
+    """Whether an element below the open ones of ``names`` is dropped, or only if most of its characters are links."""
     if tag in DROPPED:
-        return True
+        return DROP
     if not attributes:
-        return False
+        return KEEP
+    verdict, seen = KEEP, set()
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in seen:
+            continue  # the first of a name counts
+        seen.add(name)
         if name in ("class", "id"):
-            if tag not in KEPT and not BOILERPLATE.isdisjoint(map(str.lower, NAME_PARTS.findall(value))):
-                return True
+            if tag in KEPT or BOILERPLATE.isdisjoint(map(str.lower, NAME_PARTS.findall(value))):
+                continue
+            if name == "id" and tag in HEADINGS:
+                continue  # a slug of the heading's words
+            if name == "id" and tag == "section":
+                verdict = DOUBT
+            elif LANDMARKS.isdisjoint(names) or not BOILERPLATE.isdisjoint(value.lower().split()):
+                return DROP
+            else:
+                verdict = DOUBT
             continue
         value = value.lower()
         if name == "role":
             if tag not in KEPT and value in DROPPED_ROLES:
-                return True
+                return DROP
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return DROP
+    return verdict
 
 
 class Tree:
@@ -89,6 +108,13 @@ class Tree:
 
     def __init__(self, page: str):
         self.tags, self.parents, self.content = ["#root"], [-1], [[]]
+        self.doubted: list[int] = []
+        self.gone: set[int] = set()
+        self._read(page)
+        if self.doubted:
+            self._settle()
+
+    def _read(self, page: str) -> None:
         stack = [0]  # open nodes; -1 - depth marks those inside a dropped subtree
         names = ["#root"]
         dropped = 0  # how many open elements belong to a dropped subtree
@@ -120,7 +146,8 @@ class Tree:
                         if tag != "tr":
                             break
             attributes = m[3] or ""
-            drop = dropped or _dropped(tag, attributes)
+            verdict = DROP if dropped else _verdict(tag, attributes, names)
+            drop = verdict == DROP
             if tag in VOID:
                 if not drop and tag in ("br", "hr", "wbr", "img"):
                     self.content[stack[-1]].append(tag)
@@ -143,6 +170,27 @@ class Tree:
                 stack.append(stack[-1])
             else:
                 stack.append(self._add(tag, stack[-1]))
+                if verdict == DOUBT:
+                    self.doubted.append(stack[-1])
+
+    def _settle(self) -> None:
+        """Takes out the doubted subtrees with links for half of their characters or more."""
+        n = len(self.tags)
+        chars, links = [0] * n, [0] * n
+        for i in range(n - 1, 0, -1):
+            chars[i] += sum(len("".join(x.split())) for x in self.content[i] if isinstance(x, str))
+            if self.tags[i] == "a":
+                links[i] = chars[i]
+            chars[self.parents[i]] += chars[i]
+            links[self.parents[i]] += links[i]
+        out = {i for i in self.doubted if 2 * links[i] >= chars[i]}
+        for i in range(1, n):
+            if i in out or self.parents[i] in self.gone:
+                self.gone.add(i)
+        for i in self.gone:
+            self.content[i] = []
+        for i in out:
+            self.content[self.parents[i]] = [x for x in self.content[self.parents[i]] if isinstance(x, str) or x != i]
 
     def _add(self, tag: str, parent: int) -> int:
         node = len(self.tags)
@@ -185,7 +233,7 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
         if tree.tags[i] == "a":
             link_chars[i], link_tags[i] = chars[i], tags[i] + 1
         p = tree.parents[i]
-        if p >= 0:
+        if p >= 0 and i not in tree.gone:
             chars[p] += chars[i]
             tags[p] += tags[i] + 1
             link_chars[p] += link_chars[i]

@@ -463,6 +463,17 @@ def test_every_article_over_the_threshold_is_kept():
     assert htmltext.main_text(page) == "\n\n".join(x for k in range(3) for x in (f"Part {k}", *[LONG.strip()] * 3))
 
 
+def test_only_real_attributes_and_whole_names_drop_text():
+    links = "".join(f"<a href={i}>more number {i}</a>" for i in range(9))
+    page = (
+        f'<body><article title="The hidden valley"><h2 id="related-work">A</h2><p>{LONG}see <a href="/hidden-gems/" aria-label="hidden gems">these</a> too</p>'
+        f'<section id="discussion"><h3 id="notice-of-claim">B</h3><p>{LONG}</p></section><div class="entry-header">C</div><p data-x=\'class="ad"\'>D</p>'
+        f'<div class="ad">no</div><div class="related-posts">{links}</div><section id=related>{links}</section><p HIDDEN>no</p><p id=x hidden="">no</p><p style="display: none">no</p></article>'
+    )
+    assert htmltext.main_text(page) == "\n\n".join(["A", f"{LONG}see these too", "B", LONG.strip(), "C", "D"])
+    assert htmltext.main_text(f'<body title="hidden"><h1 id=comments>E</h1><p alt="x hidden y">{LONG}</p></body>').endswith(LONG.strip())
+
+
 def test_pages(spark, data):
     import html
 
