@@ -8,7 +8,9 @@ with most letters. Scores are computed once per distinct word of a block, and th
 steps of all texts of a block run together; texts longer than WINDOW words are cut into
 windows for that, which are labelled one beside the other and counted together.
 
-The model is fitted on about ``fit_docs`` labelled texts at most, chosen by a hash.
+The model knows every language with a labelled text that isn't held out. It is fitted on about
+``fit_docs`` of these texts, or LEAST_DOCS of each language if that's more, chosen by a hash:
+all of the languages with few texts, equally many of the others.
 
 Cases: null texts and texts without a letter are "und" with score 0; with no labelled
 text at all every text is "und"; ties go to the language that sorts first; repeated rows
@@ -18,6 +20,7 @@ and ids are each handled by themselves.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +53,7 @@ CHUNK = 1 << 15  #: words whose features are held at once
 SMOOTHING = 0.3
 WORST = 8.0  #: how far a word may put a language behind the best
 SWITCH = 10.0
+LEAST_DOCS = 500  #: texts of a language that a fit may always use
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,18 +182,32 @@ def predict(model: Model, values: list[str]) -> list[tuple[str, float]]:
     return out
 
 
-def labelled_sample(docs: DataFrame, fit_docs: int) -> DataFrame:
-    """About ``fit_docs`` rows at most of those that a fit may see: labelled and not held out."""
+def quota(counts: Iterable[int], most: int) -> int:
+    """How many texts of each language at most make ``most`` in all."""
+    left, counts = most, sorted(counts)
+    for k, n in enumerate(counts):
+        if n * (len(counts) - k) > left:
+            return left // (len(counts) - k)
+        left -= n
+    return most
+
+
+def labelled_sample(docs: DataFrame, fit_docs: int) -> tuple[DataFrame, list[str]]:
+    """Rows that a fit may see, labelled and not held out, in bounded numbers of each language, and all languages of such rows."""
     seen = docs.where(F.col("lang").isNotNull() & (fold("doc_id") != 0))
-    n = seen.select("doc_id").count()
-    return seen if n <= fit_docs else seen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * fit_docs / n))
+    counts = {r["lang"]: r["count"] for r in seen.groupBy("lang").count().collect()}
+    each = max(LEAST_DOCS, quota(counts.values(), fit_docs))
+    cut = [x for lang, n in counts.items() if n > each for x in (F.lit(lang), F.lit(int((1 << 30) * each / n)))]
+    if cut:
+        share = F.coalesce(F.create_map(*cut)[F.col("lang")], F.lit(1 << 30))
+        seen = seen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+    return seen, sorted(counts)
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = 12_000) -> Model:
     """Counts features on the executors; what reaches the driver is at most BUCKETS counts a language."""
     docs = texts(df, id_col, text_col, lang=lang_col)
-    sample = labelled_sample(docs, fit_docs)
-    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    sample, langs = labelled_sample(docs, fit_docs)
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPT_NAMES), 0), bool))
     numbers = {lang: k for k, lang in enumerate(langs)}

@@ -333,6 +333,14 @@ def languages(spark):
     return langid.fit(spark.createDataFrame([*rows, (999, "x", None)], "doc_id long, text string, lang string"))
 
 
+def test_a_rare_language_is_learnt_however_many_texts_others_have(spark):
+    rows = [(i, "the house and this thing with other " * 2, "en") for i in range(4_000)] + [(5_000 + i, "das haus und nicht ein mit über " * 2, "de") for i in range(6)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_docs=100)
+    assert model.langs == ["de", "en"]
+    assert [x for x, _ in langid.predict(model, ["das haus und nicht", "the house and this"])] == ["de", "en"]
+    assert langid.quota([6, 4_000], 100) == 94 and langid.quota([5, 5], 100) == 100 and langid.quota([90, 90, 10], 100) == 45
+
+
 def test_spans_and_odd_texts(spark, languages):
     assert languages.langs == ["de", "en", "ru"]
     mixed = "the house and this other thing " * 4 + "das haus und nicht mit über ein " * 4 + "дом и это не вещь она"
