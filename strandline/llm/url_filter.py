@@ -2,7 +2,9 @@
 
 A host's labels are split into words by Viterbi under a unigram word model, so that
 concatenated names fall apart into words; a multinomial naive Bayes classifier scores
-these words and the path's tokens. Word counts come from page texts. Labels come from a
+these words and the path's tokens. Word counts come from the texts of all pages; they stay
+in a table, of which a model holds those that the hosts at hand can use: the counted words
+among the substrings of distinct hosts. Only the classifier learns from a sample. Labels come from a
 caller's column, or by ``seed_labels`` from a list of terms that unwanted hosts carry in
 their segmented names; the classifier carries that over to the words that go with them.
 
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.common import materialize
+
 #: Terms that mark a host as unwanted when they stand among its words.
 SEEDS = frozenset("adult ads bet bets betting casino dating escort gambling malware phishing pills poker porn sex slots spam track tracker viagra warez xxx".split())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,6 +40,9 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+LONGEST = 24  #: letters of a word
+
+
 class Rules:
     """Rules like ``example.com/en/``: a host with its subdomains, and the start of the path. The longest that fits wins."""
 
@@ -59,10 +66,33 @@ class Rules:
 class WordModel:
     """Unigram word probabilities; a word of n letters that wasn't counted has 10 / (total * 10 ** n)."""
 
-    def __init__(self, counts: dict[str, int], longest: int = 24):
-        self.total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], longest: int = LONGEST, total: int | None = None):
+        self.total = (sum(counts.values()) if total is None else total) + 1
         self.logs = {w: math.log(c / self.total) for w, c in counts.items() if c > 0}
         self.longest = longest
+        self.table: DataFrame | None = None  #: word, count of all words, where ``logs`` has only some
+        self.fixed: dict[str, int] = {}  #: counts that go before those of the table
+
+    @classmethod
+    def counted(cls, table: DataFrame, seeds: Iterable[str], hosts: DataFrame) -> WordModel:
+        """For some hosts, of a table of all counts; seeds are known words, whether or not a page has them."""
+        seeds = sorted(seeds)
+        total = table.agg(F.sum("count")).first()[0] or 0
+        found = {r["word"]: r["count"] for r in table.where(F.col("word").isin(seeds)).collect()}
+        fixed = {w: max(found.get(w, 0), 1 + total // 10_000) for w in seeds}
+        total += sum(fixed.values()) - sum(found.values())
+        return cls({}, total=total)._over(table, fixed, hosts)
+
+    def _over(self, table: DataFrame, fixed: dict[str, int], hosts: DataFrame) -> WordModel:
+        usable = hosts.select("host").distinct().mapInArrow(_substrings(self.longest), "word string").distinct()
+        counts = {r["word"]: r["count"] for r in table.join(usable, "word").collect()}
+        model = WordModel(counts | fixed, self.longest, self.total - 1)
+        model.table, model.fixed = table, fixed
+        return model
+
+    def over(self, hosts: DataFrame) -> WordModel:
+        """The same model, with the words that these hosts can use."""
+        return self if self.table is None else self._over(self.table, self.fixed, hosts)
 
     def log_probability(self, word: str) -> float:
         known = self.logs.get(word)
@@ -84,11 +114,12 @@ class WordModel:
         return words[::-1]
 
 
+LONGEST_PART = 63  #: letters of a host's part that is segmented
 LETTERS, PARTS = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]+|\d+")
 
 
 def host_words(model: WordModel, host: str) -> list[str]:
-    return [w for part in LETTERS.findall(host) for w in (model.segment(part) if len(part) <= 63 else [part])]
+    return [w for part in LETTERS.findall(host) for w in (model.segment(part) if len(part) <= LONGEST_PART else [part])]
 
 
 def tokens(model: WordModel, host: str, path: str) -> list[str]:
@@ -96,6 +127,16 @@ def tokens(model: WordModel, host: str, path: str) -> list[str]:
     return ["h:" + w for w in host_words(model, host)] + ["p:" + ("#" if t[0].isdigit() else t.lower()) for t in PARTS.findall(path)]
 
 
+def _substrings(longest: int):
+    def run(batches):
+        for batch in batches:
+            parts = {p for host in batch.column("host").to_pylist() for p in LETTERS.findall(host) if len(p) <= LONGEST_PART}
+            found = {p[i:j] for p in parts for i in range(len(p)) for j in range(i + 1, min(len(p), i + longest) + 1)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
+
+    return run
+
+
 class NaiveBayes:
     """Multinomial, two classes, add-one smoothing. ``score`` is the probability of class 1."""
 
@@ -115,30 +156,30 @@ class NaiveBayes:
 
 
 def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows at most, chosen by a hash of the key; all if there are no more."""
+    """About ``rows`` rows at most, chosen by a hash of the key; all if there are no more. Else rows without a key don't take part, and of those with the same key the least does."""
     n = df.count()
-    return df if n <= rows else df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+    if n <= rows:
+        return df
+    drawn = df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * rows / n)))
+    return drawn.groupBy(key).agg(F.min(F.struct(*(c for c in df.columns if c != key))).alias("row")).select(key, "row.*")
 
 
-def word_counts(df: DataFrame, html_col: str, most: int = 50_000) -> dict[str, int]:
-    """Counts of the words of page texts; the ``most`` frequent ones bound the model."""
+def word_counts(df: DataFrame, html_col: str) -> DataFrame:
+    """word, count of all words of page texts."""
     plain = F.lower(F.regexp_replace(F.col(html_col), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;", " "))
-    words = df.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where("word <> ''").groupBy("word").count()
-    return {r["word"]: r["count"] for r in words.orderBy(F.desc("count"), "word").limit(most).collect()}
+    return df.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where("word <> ''").groupBy("word").count()
 
 
 def seed_labels(model: WordModel, hosts: Iterable[str], seeds: frozenset[str] = SEEDS) -> list[int]:
     return [int(not seeds.isdisjoint(host_words(model, h))) for h in hosts]
 
 
-def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", fit_rows: int = 20_000, seeds: frozenset[str] = SEEDS) -> tuple[WordModel, NaiveBayes]:
-    """Word model and classifier from about ``fit_rows`` rows at most."""
-    sample = sampled(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")), "url", fit_rows)
-    counts = word_counts(sample, "html")
-    for w in seeds:  # known words, whether or not a page has them
-        counts[w] = max(counts.get(w, 0), 1 + sum(counts.values()) // 10_000)
-    model = WordModel(counts)
-    rows = [(r["host"], r["path"]) for r in sample.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).collect()]
+def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", fit_rows: int = 20_000, seeds: frozenset[str] = SEEDS, id_col: str = "page_id") -> tuple[WordModel, NaiveBayes]:
+    """Word model from all pages, and classifier from about ``fit_rows`` rows at most. Writes the word counts below the shared folder."""
+    named = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"))
+    places = named.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    model = WordModel.counted(materialize(word_counts(named, "html"), "words"), seeds, places)
+    rows = sorted((r["host"], r["path"]) for r in sampled(places, "page_id", fit_rows).collect())
     labels = dict(zip(hosts := sorted({h for h, _ in rows}), seed_labels(model, hosts, seeds), strict=True))
     return model, NaiveBayes((tokens(model, h, p), labels[h]) for h, p in rows)
 
@@ -149,8 +190,12 @@ JUDGED_SCHEMA = "page_id long, host string, path string, rule string, verdict st
 def judge(df: DataFrame, rules: Rules, model: WordModel, bayes: NaiveBayes, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (or null), verdict (the rule's, else by the classifier), score, words of the host."""
     urls = df.select(F.col(f"`{id_col}`").alias("page_id"), host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"))
+    model = model.over(urls)
+    logs, total, longest = model.logs, model.total, model.longest
 
     def run(batches):
+        model = WordModel({}, longest, total - 1)
+        model.logs = logs
         known: dict[str, list[str]] = {}
         for batch in batches:
             out = []

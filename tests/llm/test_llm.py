@@ -315,6 +315,16 @@ def test_arranged_pieces_cover_every_token_once(lengths):
         assert {r["sequence_id"] for r in named} == set(range(sequences))
 
 
+def test_words_of_all_pages_count_and_the_sample_is_bounded(spark):
+    rows = [(i, None if i % 3 else f"http://h{i}.org/", "<p>lorem ipsum</p>") for i in range(600)] + [(601, "http://quietharbour.org/", "<p>quiet harbour quiet harbour</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model, bayes = url_filter.fit(pages, fit_rows=30)
+    odd = spark.createDataFrame([(0, "http://loremharbour.net/")], "page_id long, url string")
+    got = [r["words"] for r in url_filter.judge(pages.select(odd.columns).where("page_id = 601").unionByName(odd), url_filter.Rules([]), model, bayes).orderBy("page_id").collect()]
+    assert [w.split()[:2] for w in got] == [["lorem", "harbour"], ["quiet", "harbour"]]
+    assert url_filter.sampled(pages.withColumn("page_id", F.when(F.col("page_id") % 3 == 0, F.col("page_id"))), "page_id", 30).count() < 60
+
+
 # --- 6 ---
 
 
