@@ -102,7 +102,7 @@ def arrange(lengths: np.ndarray, window: int = WINDOW, unit: int = UNIT, depth:
         by_bin[sizes[d]].append(d)
     histogram = np.array([len(b) for b in by_bin[1:]])
     gaps: list[tuple[int, int, int]] = []
-    if histogram.sum() > 2 * bins:
+    if histogram.any():
         table = combinations(bins, depth)
         weights = np.floor(nnls(bins, depth, histogram.astype(float)) + 1e-6).astype(int)
         for c in np.flatnonzero(weights).tolist():

@@ -264,6 +264,12 @@ def test_packet_table_and_damage(spark):
 # --- 5 ---
 
 
+def test_a_small_block_is_arranged_without_cuts():
+    lengths = np.array([1536, 512] * 10)
+    rows, sequences, open_ = packing.arrange(lengths)
+    assert sequences == 10 and open_ == 0 and sorted(rows[:, 0].tolist()) == list(range(20))
+
+
 def plain_ids(values):
     from tokenizers import Tokenizer
 
