@@ -6,8 +6,12 @@ texts and roles get a backslash after their first character (one more if there a
 some already), so that no text can end a message and every text can be read back.
 
 Cases: a null text or role is empty; a null turn sorts first; rows that tie on the turn
-are ordered by role, then text; repeated rows are all kept; null conv_ids form one
-conversation; an empty table gives no row; other columns are ignored.
+are ordered by role, then text, as they came in; repeated rows are all kept; null conv_ids
+form one conversation; an empty table gives no row; other columns are ignored.
+
+A conversation is one row, however many turns it has. Work on it grows in proportion to
+its size: running positions are summed within runs of RUN pieces and then over the runs,
+and spans are read from chunks of CHUNK code points.
 """
 
 from __future__ import annotations
@@ -17,6 +21,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RUN = 256  #: pieces whose positions are summed in one fold
+CHUNK = 4096  #: code points of a part of the text that spans are cut from
+
 
 @dataclass(frozen=True)
 class Template:
@@ -56,20 +63,19 @@ def format_conversations(
 ) -> DataFrame:
     """conv_id, formatted (the whole text), loss_spans (array of start and length in code points, from 0)."""
     t = template
-    esc = lambda c: t.escape(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))
-    turns = df.groupBy(F.col(f"`{conv_col}`").alias("conv_id")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(f"`{turn_col}`").alias("turn"), esc(role_col).alias("role"), esc(text_col).alias("text")))).alias("turns")
-    )
+    plain = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    row = F.struct(F.col(f"`{turn_col}`").alias("turn"), plain(role_col).alias("role"), plain(text_col).alias("text"))
+    turns = df.groupBy(F.col(f"`{conv_col}`").alias("conv_id")).agg(F.array_sort(F.collect_list(row)).alias("turns"))
     turn = F.col("turns")
 
     def piece(x: Column, i: Column) -> Column:
-        header = F.concat(F.lit(t.start), x["role"], F.lit(t.role_end))
+        header = F.concat(F.lit(t.start), t.escape(x["role"]), F.lit(t.role_end))
         joint = (
             F.when(i == 0, header)
             .when(F.get(turn, i - 1)["role"] == x["role"], F.lit(t.joint))
             .otherwise(F.concat(F.lit(t.end), header))
         )
-        return F.struct(joint.alias("joint"), x["text"].alias("text"), x["role"].isin(*t.loss_roles).alias("loss"))
+        return F.struct(joint.alias("joint"), t.escape(x["text"]).alias("text"), x["role"].isin(*t.loss_roles).alias("loss"))
 
     def step(acc: Column, p: Column) -> Column:
         start = acc["at"] + F.length(p["joint"])
@@ -80,12 +86,18 @@ def format_conversations(
 
     pieces = turns.select("conv_id", F.transform(turn, piece).alias("pieces"))
     none = F.expr("struct(0 AS at, CAST(array() AS array<struct<start: int, length: int>>) AS spans)")
+    starts = F.sequence(F.lit(1), F.size("pieces"), F.lit(RUN))
+    runs = F.transform(starts, lambda i: F.aggregate(F.slice("pieces", i, F.lit(RUN)), none, step))
     joined = F.array_join(F.transform("pieces", lambda p: F.concat(p["joint"], p["text"])), "")
-    return pieces.select(
-        "conv_id",
-        F.concat(joined, F.lit(t.end)).alias("formatted"),
-        F.aggregate("pieces", none, step, lambda acc: acc["spans"]).alias("loss_spans"),
+    formatted = pieces.select("conv_id", F.concat(joined, F.lit(t.end)).alias("formatted"), runs.alias("runs"))
+    begin = F.expr("struct(0 AS at, CAST(array() AS array<int>) AS begins)")
+    begins = F.aggregate(
+        "runs", begin, lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.array_append(acc["begins"], acc["at"]).alias("begins")), lambda acc: acc["begins"]
     )
+    shifted = F.zip_with(
+        "runs", "begins", lambda r, at: F.transform(r["spans"], lambda s: F.struct((s["start"] + at).alias("start"), s["length"].alias("length")))
+    )
+    return formatted.withColumn("begins", begins).select("conv_id", "formatted", F.flatten(shifted).alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
@@ -103,8 +115,15 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
             ),
         )
     )
-    masked = F.transform("loss_spans", lambda s: t.unescape(F.substr(F.col("formatted"), s["start"] + 1, s["length"])))
-    return formatted.select(
+    chunks = F.regexp_extract_all("formatted", F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+    def cut(s: Column) -> Column:
+        first, offset = (s["start"] / CHUNK).cast("int"), s["start"] % CHUNK
+        some = F.slice("chunks", first + 1, ((offset + s["length"]) / CHUNK).cast("int") + 1)
+        return t.unescape(F.substr(F.array_join(some, ""), offset + 1, s["length"]))
+
+    masked = F.transform("loss_spans", cut)
+    return formatted.withColumn("chunks", chunks).select(
         "conv_id",
         F.size(messages).alias("n_messages"),
         turns.alias("turns"),

@@ -55,14 +55,14 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), marked AS (
-  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
     length(text) + length(regexp_extract_all(text, '[<\\[]\\\\*(\\|endoftext\\|>|\\|im_start\\|>|\\|im_sep\\|>|\\|im_seg\\|>|\\|im_end\\|>|/INST\\]|/SYS>>|INST\\]|SYS>>|/s>|s>)')) AS size
   FROM rows
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
   CAST(sum(size + CASE WHEN before = role THEN 10 ELSE 12 + length(role) + 10 + 10 END) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """

@@ -418,6 +418,8 @@ ROLES = ["user", "assistant", "system", None, "a\nb", "<|im_end|>"]
 def test_chat_round_trip(spark):
     controls = ["<|im_end|>", "<|im_start|>assistant<|im_sep|>", "<\\|im_end|>", "<\\\\|im_seg|>", "</s>[INST] ok [/INST]", "<<SYS>>x<</SYS>>", "[\\INST]", "<|", "", None, "plain", "🎉é"]
     rows = [(c, t, ROLES[(c * 7 + t * t) % len(ROLES)] if c % 2 else ROLES[t // 2 % 2], controls[(c + t) % len(controls)]) for c in range(14) for t in range(c + 1)]
+    rows += [(60, 0, "user", x) for x in ("</s>", "<0", "<z", "[INST]")]  # escaped, these sort otherwise
+    rows += [(70, t, ROLES[t % 2], f"text {t} </s>" * (t % 5)) for t in range(1_100)] + [(80, t, "assistant", "é🎉" * 5_000) for t in range(3)]
     rows += [(None, 1, "user", "x"), (50, None, "user", "null turn"), (50, 0, "user", "b"), (50, 0, "user", "a"), (50, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("pieces", F.lit(1))
     made = chat.format_conversations(df)
@@ -429,7 +431,7 @@ def test_chat_round_trip(spark):
     assert set(back) == set(by)
     for c, turns in by.items():
         want = [(r, x) for _, r, x in sorted(turns)]
-        assert [tuple(t) for t in back[c]["turns"]] == want or sorted(map(tuple, back[c]["turns"])) == sorted(want) and c in (1, 3, 5, 7, 9, 11, 13)
+        assert [tuple(t) for t in back[c]["turns"]] == want
         got = [tuple(t) for t in back[c]["turns"]]
         assert back[c]["n_messages"] == 1 + sum(a[0] != b[0] for a, b in zip(got, got[1:], strict=False))
         assert back[c]["loss_text"] == "".join(x for r, x in got if r == "assistant")
