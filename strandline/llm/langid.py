@@ -5,8 +5,10 @@ languages to those seen with its script; hashed character 1- to 4-grams and the
 itself give each candidate a naive Bayes score. A Viterbi pass with a switching penalty
 labels every word, so that a mixed text falls into spans; the text's language is the one
 with most letters. Scores are computed once per distinct word of a block, and the Viterbi
-steps of all texts of a block run together; texts longer than WINDOW words are cut into
-windows for that, which are labelled one beside the other and counted together.
+steps of all texts of a block run together. Texts longer than WINDOW words are cut into
+windows for that. A later window is run once from each language that the word before it may
+have; the best path through all windows is then put together from these runs, so labels are
+those of one pass over the whole text.
 
 The model knows every language with a labelled text that isn't held out. It is fitted on about
 ``fit_docs`` of these texts, or LEAST_DOCS of each language if that's more, chosen by a hash:
@@ -51,7 +53,7 @@ LONGEST_GRAM = 4
 WINDOW = 2048
 CHUNK = 1 << 15  #: words whose features are held at once
 SMOOTHING = 0.3
-WORST = 8.0  #: how far a word may put a language behind the best
+WORST = 8.0  #: how far a word may put a language behind the best: one odd word doesn't outweigh a switch; a parameter of the model, alike for texts of any length
 SWITCH = 10.0
 LEAST_DOCS = 500  #: texts of a language that a fit may always use
 
@@ -113,35 +115,80 @@ class Model:
         return np.maximum(out / 2, -WORST).astype(np.float32)  # features of a word overlap: half of their evidence counts
 
 
-def viterbi(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A label for each row of ``scores``; the sequences are the slices between bounds, none longer than WINDOW."""
-    lengths = np.diff(bounds)
+def _lanes(scores: np.ndarray, begins: np.ndarray, lengths: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Viterbi steps of many slices of ``scores`` side by side, each from a row of ``before``: values at the end, and by slice and word (from
+    where each slice begins) whether a language stays and which one leads."""
     order = np.argsort(-lengths, kind="stable")
-    begins, lengths = bounds[:-1][order], lengths[order]
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    stays = np.zeros((int(ends[-1]) if len(ends) else 0, scores.shape[1]), bool)
+    leads = np.zeros(len(stays), np.int16)
+    value = before[order]
+    first, at_first, longest = begins[order], starts[order], int(lengths.max(initial=0))
+    active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
+    for t in range(longest):
+        k = active[t]
+        now = value[:k]
+        lead = now.argmax(axis=1)
+        switched = now[np.arange(k), lead][:, None] - SWITCH
+        stay = now >= switched
+        stays[at_first[:k] + t] = stay
+        leads[at_first[:k] + t] = lead
+        value[:k] = np.where(stay, now, switched) + scores[first[:k] + t]
+    out = np.empty_like(value)
+    out[order] = value
+    return out, starts, stays, leads
+
+
+def viterbi(scores: np.ndarray, bounds: np.ndarray, window: int | None = None) -> np.ndarray:
+    """A label for each row of ``scores``; the sequences are the slices between bounds."""
+    window = window or WINDOW
+    n = scores.shape[1]
     labels = np.zeros(len(scores), np.int16)
     if not len(scores):
         return labels
-    stays = np.zeros(scores.shape, bool)
-    leads = np.zeros(len(scores), np.int16)
-    value = np.zeros((len(lengths), scores.shape[1]), np.float32)
-    longest = int(lengths[0])
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    for t in range(longest):
-        k = active[t]
-        at = begins[:k] + t
-        before = value[:k]
-        lead = before.argmax(axis=1)
-        switched = before[np.arange(k), lead][:, None] - np.float32(SWITCH)
-        stay = before >= switched
-        stays[at] = stay
-        leads[at] = lead
-        now = np.where(stay, before, switched) + scores[at]
-        value[:k] = now - now.max(axis=1, keepdims=True)  # only differences matter
-    now = value.argmax(axis=1).astype(np.int16)
+    parts = [np.arange(a, b, window) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]  # where the windows of each sequence begin
+    copies = [np.minimum(np.arange(len(p)) * n, 1) * (n - 1) + 1 for p in parts]  # 1 of the first, n of each other
+    begins = np.concatenate([np.repeat(p, c) for p, c in zip(parts, copies, strict=True)])
+    lengths = np.concatenate([np.repeat(np.minimum(p + window, b) - p, c) for p, c, b in zip(parts, copies, bounds[1:], strict=True)])
+    before = np.zeros((len(begins), n))
+    lane, first_lane = 0, []
+    for c in copies:
+        first_lane.append(lane)
+        for w in range(1, len(c)):
+            at = lane + 1 + (w - 1) * n
+            before[at : at + n] = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
+        lane += int(c.sum())
+    value, starts, stays, leads = _lanes(scores, begins, lengths, before)
+    chosen, exits = [], []  # the runs that make up the best paths, and the languages they end in
+    for at, c in zip(first_lane, copies, strict=True):
+        if not len(c):
+            continue
+        reached, came = value[at], []
+        for w in range(1, len(c)):
+            run = at + 1 + (w - 1) * n
+            through = reached[:, None] + value[run : run + n]
+            came.append(through.argmax(axis=0))
+            reached = through.max(axis=0)
+        last = int(reached.argmax())
+        for w in range(len(c) - 1, 0, -1):
+            entry = int(came[w - 1][last])
+            chosen.append(at + 1 + (w - 1) * n + entry)
+            exits.append(last)
+            last = entry
+        chosen.append(at)
+        exits.append(last)
+    chosen, now = np.array(chosen, np.int64), np.array(exits, np.int16)
+    order = np.argsort(-lengths[chosen], kind="stable")
+    chosen, now = chosen[order], now[order]
+    sizes = lengths[chosen]
+    longest = int(sizes[0])
+    # From the end of each run backwards; shorter ones join in when their last word is reached.
+    active = np.searchsorted(-sizes, -np.arange(longest), side="left")
     for t in range(longest - 1, -1, -1):
         k = active[t]
-        at = begins[:k] + t
-        labels[at] = now[:k]
+        labels[begins[chosen[:k]] + t] = now[:k]
+        at = starts[chosen[:k]] + t
         now[:k] = np.where(stays[at, now[:k]], now[:k], leads[at])
     return labels
 
@@ -158,9 +205,8 @@ def _labelled(model: Model, words_of: list[list[str]]) -> list[tuple[np.ndarray,
     sizes = [len(w) for w in which]
     flat = np.concatenate([*which, np.empty(0, np.int64)])
     ends = np.cumsum([0, *sizes])
-    cuts = np.unique(np.concatenate([ends, *(np.arange(a, b, WINDOW) for a, b in zip(ends[:-1], ends[1:], strict=True))]))
     scores = table[flat]
-    labels = viterbi(scores, cuts)
+    labels = viterbi(scores, ends)
     return [(labels[a:b], scores[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 

@@ -392,6 +392,19 @@ def test_viterbi_equals_a_plain_one():
             assert math.isclose(total(got[a:b].tolist()), best.max(), abs_tol=1e-3)
 
 
+def test_windows_dont_change_labels(languages):
+    rng = np.random.default_rng(6)
+    scores = -rng.random((900, 3)).astype(np.float32) ** 3 * 8
+    scores[np.arange(900), (np.arange(900) // 130) % 3] = 0
+    bounds = np.array([0, 7, 7, 500, 520, 900])
+    whole = langid.viterbi(scores, bounds, 10_000)
+    for window in (1, 3, 8, 64, 129, 130, 500):
+        assert np.array_equal(langid.viterbi(scores, bounds, window), whole)
+    words = ("the house and this thing with other " * 500).split() + ["das"] + ("the house " * 600).split() + ("das haus und nicht ein mit " * 400).split()
+    (labels,) = langid.label(languages, [words])
+    assert labels.tolist() == [1] * (len(words) - 2_400) + [0] * 2_400
+
+
 # --- 7 ---
 
 def test_twins_in_a_bucket_of_many_chunks_and_without_an_id(spark):
