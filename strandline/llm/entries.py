@@ -18,8 +18,7 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    model, bayes = url_filter.fit(pages)
-    return url_filter.judge(pages, url_filter.Rules(URL_RULES), model, bayes)
+    return url_filter.judge(pages, url_filter.Rules(URL_RULES), url_filter.fit(pages))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

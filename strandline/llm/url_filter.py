@@ -2,15 +2,18 @@
 
 A host's labels are split into words by Viterbi under a unigram word model, so that
 concatenated names fall apart into words; a multinomial naive Bayes classifier scores
-these words and the path's tokens. Word counts come from the texts of all pages; they stay
-in a table, of which a model holds those that the hosts at hand can use: the counted words
-among the substrings of distinct hosts. Only the classifier learns from a sample. Labels come from a
-caller's column, or by ``seed_labels`` from a list of terms that unwanted hosts carry in
-their segmented names; the classifier carries that over to the words that go with them.
+these words and the path's tokens. Word counts come from the texts of all pages. Hosts are
+segmented where they lie: the substrings of each distinct host meet the counted words in a
+join, so no vocabulary is sent to the driver or to every task. Only the classifier
+learns from a sample, of ``fit_rows`` rows. Its labels come from a caller's column, or are
+weak ones: a host is marked if one of its words is among listed seed terms. These miss hosts
+of the same kind, so those that a first classifier blocks are marked too for the second. What goes
+with marked hosts, in their names and paths, is learnt, so hosts without a seed are blocked too.
 
 Cases: a null url and one without "://" have an empty host and path, match no rule and
-are judged by the prior alone; other columns are ignored; repeated rows are all kept;
-with no training row every verdict of the method is "allow".
+are judged by the prior alone; other columns are ignored, whatever their names; repeated
+rows are all kept; with no training row of both classes every verdict of the method is "allow";
+names of any length are segmented.
 """
 
 from __future__ import annotations
@@ -18,13 +21,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize
+from strandline.llm.common import discard, materialize
 
 #: Terms that mark a host as unwanted when they stand among its words.
 SEEDS = frozenset("adult ads bet bets betting casino dating escort gambling malware phishing pills poker porn sex slots spam track tracker viagra warez xxx".split())
@@ -40,9 +44,6 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-LONGEST = 24  #: letters of a word
-
-
 class Rules:
     """Rules like ``example.com/en/``: a host with its subdomains, and the start of the path. The longest that fits wins."""
 
@@ -66,47 +67,30 @@ class Rules:
 class WordModel:
     """Unigram word probabilities; a word of n letters that wasn't counted has 10 / (total * 10 ** n)."""
 
-    def __init__(self, counts: dict[str, int], longest: int = LONGEST, total: int | None = None):
+    def __init__(self, counts: Mapping[str, int], total: int | None = None):
         self.total = (sum(counts.values()) if total is None else total) + 1
         self.logs = {w: math.log(c / self.total) for w, c in counts.items() if c > 0}
-        self.longest = longest
-        self.table: DataFrame | None = None  #: word, count of all words, where ``logs`` has only some
-        self.fixed: dict[str, int] = {}  #: counts that go before those of the table
-
-    @classmethod
-    def counted(cls, table: DataFrame, seeds: Iterable[str], hosts: DataFrame) -> WordModel:
-        """For some hosts, of a table of all counts; seeds are known words, whether or not a page has them."""
-        seeds = sorted(seeds)
-        total = table.agg(F.sum("count")).first()[0] or 0
-        found = {r["word"]: r["count"] for r in table.where(F.col("word").isin(seeds)).collect()}
-        fixed = {w: max(found.get(w, 0), 1 + total // 10_000) for w in seeds}
-        total += sum(fixed.values()) - sum(found.values())
-        return cls({}, total=total)._over(table, fixed, hosts)
-
-    def _over(self, table: DataFrame, fixed: dict[str, int], hosts: DataFrame) -> WordModel:
-        usable = hosts.select("host").distinct().mapInArrow(_substrings(self.longest), "word string").distinct()
-        counts = {r["word"]: r["count"] for r in table.join(usable, "word").collect()}
-        model = WordModel(counts | fixed, self.longest, self.total - 1)
-        model.table, model.fixed = table, fixed
-        return model
-
-    def over(self, hosts: DataFrame) -> WordModel:
-        """The same model, with the words that these hosts can use."""
-        return self if self.table is None else self._over(self.table, self.fixed, hosts)
+        self.sizes = sorted({len(w) for w in self.logs})
 
     def log_probability(self, word: str) -> float:
         known = self.logs.get(word)
         return math.log(10 / self.total) - len(word) * math.log(10) if known is None else known
 
     def segment(self, name: str) -> list[str]:
-        """The most probable split of a name into words."""
-        n = len(name)
+        """The most probable split of a name into words. A counted word is never less probable than its letters as an unknown one."""
+        n, base, letter = len(name), math.log(10 / self.total), math.log(10)
         best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
+        lead, lead_at = -math.inf, 0  # the best start of an unknown word that ends at ``end`` or later
         for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                p = best[start] + self.log_probability(name[start:end])
-                if p > best[end]:
-                    best[end], back[end] = p, start
+            if best[end - 1] + (end - 1) * letter > lead:
+                lead, lead_at = best[end - 1] + (end - 1) * letter, end - 1
+            best[end], back[end] = lead + base - end * letter, lead_at
+            for size in self.sizes:
+                if size > end:
+                    break
+                known = self.logs.get(name[end - size : end])
+                if known is not None and best[end - size] + known > best[end]:
+                    best[end], back[end] = best[end - size] + known, end - size
         words, end = [], n
         while end:
             words.append(name[back[end] : end])
@@ -114,27 +98,66 @@ class WordModel:
         return words[::-1]
 
 
-LONGEST_PART = 63  #: letters of a host's part that is segmented
 LETTERS, PARTS = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]+|\d+")
 
 
 def host_words(model: WordModel, host: str) -> list[str]:
-    return [w for part in LETTERS.findall(host) for w in (model.segment(part) if len(part) <= LONGEST_PART else [part])]
+    return [w for part in LETTERS.findall(host) for w in model.segment(part)]
 
 
-def tokens(model: WordModel, host: str, path: str) -> list[str]:
+def features(words: Iterable[str], path: str) -> list[str]:
     """Words of the host and tokens of the path, in name spaces of their own; a run of digits is one token for all."""
-    return ["h:" + w for w in host_words(model, host)] + ["p:" + ("#" if t[0].isdigit() else t.lower()) for t in PARTS.findall(path)]
+    return ["h:" + w for w in words] + ["p:" + ("#" if t[0].isdigit() else t.lower()) for t in PARTS.findall(path)]
 
 
-def _substrings(longest: int):
-    def run(batches):
-        for batch in batches:
-            parts = {p for host in batch.column("host").to_pylist() for p in LETTERS.findall(host) if len(p) <= LONGEST_PART}
-            found = {p[i:j] for p in parts for i in range(len(p)) for j in range(i + 1, min(len(p), i + longest) + 1)}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
+def tokens(model: WordModel, host: str, path: str) -> list[str]:
+    return features(host_words(model, host), path)
+
+
+@dataclass
+class Words:
+    """Counts of all words of the corpus, as a table."""
+
+    table: DataFrame  #: word, count
+    total: int
+    sizes: list[int]  #: lengths that counted words have
+    seeds: dict[str, int]  #: counts of words that are known whether or not a text has them
 
-    return run
+    @classmethod
+    def counted(cls, table: DataFrame, seeds: Iterable[str]) -> Words:
+        seeds = sorted(seeds)
+        row = table.agg(F.sum("count").alias("n"), F.collect_set(F.length("word")).alias("sizes")).first()
+        found = {r["word"]: r["count"] for r in table.where(F.col("word").isin(seeds)).collect()}
+        fixed = {w: max(found.get(w, 0), 1 + (row["n"] or 0) // 10_000) for w in seeds}
+        return cls(table, (row["n"] or 0) + sum(fixed.values()) - sum(found.values()), sorted(row["sizes"]), fixed)
+
+    def segmented(self, hosts: DataFrame) -> DataFrame:
+        """host, words (joined by spaces) of each distinct host. Writes it below the shared folder."""
+        sizes, total, seeds = self.sizes, self.total, self.seeds
+
+        def pieces(batches):
+            for batch in batches:
+                for i in range(0, batch.num_rows, 200):
+                    whose, found = [], []
+                    for host in batch.column("host").slice(i, 200).to_pylist():
+                        some = {p[a : a + n] for p in LETTERS.findall(host) for n in sizes for a in range(len(p) - n + 1)}
+                        some.add("")  # a host without any counted word has a row too
+                        whose += [host] * len(some)
+                        found += sorted(some)
+                    yield pa.RecordBatch.from_arrays([pa.array(whose, pa.string()), pa.array(found, pa.string())], ["host", "word"])
+
+        def split(batches):
+            for batch in batches:
+                out = []
+                for host, words, counts in zip(*(batch.column(c).to_pylist() for c in ("host", "words", "counts")), strict=True):
+                    known = {w: n for w, n in zip(words, counts, strict=True) if w} | {w: n for w, n in seeds.items() if w in host}
+                    out.append(" ".join(host_words(WordModel(known, total), host)))
+                yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.string())], ["host", "words"])
+
+        usable = hosts.select("host").distinct().mapInArrow(pieces, "host string, word string")
+        counts = self.table.unionByName(self.table.sparkSession.createDataFrame([("", 0)], "word string, count long"))
+        met = usable.join(counts, "word").groupBy("host").agg(F.collect_list("word").alias("words"), F.collect_list("count").alias("counts"))
+        return materialize(met.mapInArrow(split, "host string, words string"), "hosts")
 
 
 class NaiveBayes:
@@ -155,13 +178,12 @@ class NaiveBayes:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) if z > -math.inf else 0.0
 
 
-def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows at most, chosen by a hash of the key; all if there are no more. Else rows without a key don't take part, and of those with the same key the least does."""
+def sampled(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows at most, chosen by a hash of the whole row; all if there are no more. Of equal rows one is drawn, so that no repeated row can fill the sample."""
     n = df.count()
     if n <= rows:
         return df
-    drawn = df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * rows / n)))
-    return drawn.groupBy(key).agg(F.min(F.struct(*(c for c in df.columns if c != key))).alias("row")).select(key, "row.*")
+    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < int((1 << 30) * rows / n)).distinct()
 
 
 def word_counts(df: DataFrame, html_col: str) -> DataFrame:
@@ -170,47 +192,60 @@ def word_counts(df: DataFrame, html_col: str) -> DataFrame:
     return df.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word")).where("word <> ''").groupBy("word").count()
 
 
-def seed_labels(model: WordModel, hosts: Iterable[str], seeds: frozenset[str] = SEEDS) -> list[int]:
-    return [int(not seeds.isdisjoint(host_words(model, h))) for h in hosts]
-
-
-def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html", fit_rows: int = 20_000, seeds: frozenset[str] = SEEDS, id_col: str = "page_id") -> tuple[WordModel, NaiveBayes]:
-    """Word model from all pages, and classifier from about ``fit_rows`` rows at most. Writes the word counts below the shared folder."""
-    named = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"))
-    places = named.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    model = WordModel.counted(materialize(word_counts(named, "html"), "words"), seeds, places)
-    rows = sorted((r["host"], r["path"]) for r in sampled(places, "page_id", fit_rows).collect())
-    labels = dict(zip(hosts := sorted({h for h, _ in rows}), seed_labels(model, hosts, seeds), strict=True))
-    return model, NaiveBayes((tokens(model, h, p), labels[h]) for h, p in rows)
+def seed_labels(words: Iterable[str], seeds: frozenset[str] = SEEDS) -> list[int]:
+    """1 for hosts, as words joined by spaces, that have a seed."""
+    return [int(not seeds.isdisjoint(w.split())) for w in words]
+
+
+@dataclass
+class Filter:
+    words: Words
+    bayes: NaiveBayes
+
+
+def fit(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", fit_rows: int = 20_000, seeds: frozenset[str] = SEEDS, id_col: str = "page_id", label_col: str | None = None
+) -> Filter:
+    """Word counts from all pages, and a classifier from about ``fit_rows`` rows at most. ``label_col``: 0, 1 or null for each page; else labels are
+    those of the seeds. Writes the counts below the shared folder."""
+    label = F.lit(None) if label_col is None else F.col(f"`{label_col}`")
+    named = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"), label.cast("int").alias("label"))
+    words = Words.counted(materialize(word_counts(named, "html"), "words"), seeds)
+    places = named.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "label")
+    if label_col is not None:
+        places = places.where("label IN (0, 1)")
+    # At most about fit_rows rows reach the driver.
+    drawn = materialize(sampled(places, fit_rows), "drawn")
+    split = words.segmented(drawn)
+    rows = sorted((r["words"], r["path"], r["label"]) for r in drawn.join(split, "host").select("words", "path", F.coalesce("label", F.lit(-1)).alias("label")).collect())
+    discard(drawn, split)
+    bags = [features(w.split(), p) for w, p, _ in rows]
+    if label_col is not None:
+        return Filter(words, NaiveBayes(zip(bags, (y for _, _, y in rows), strict=True)))
+    labels = seed_labels((w for w, _, _ in rows), seeds)
+    bayes = NaiveBayes(zip(bags, labels, strict=True))
+    return Filter(words, NaiveBayes((b, int(y or bayes.score(b) >= 0.5)) for b, y in zip(bags, labels, strict=True)))
 
 
 JUDGED_SCHEMA = "page_id long, host string, path string, rule string, verdict string, score double, words string"
 
 
-def judge(df: DataFrame, rules: Rules, model: WordModel, bayes: NaiveBayes, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(df: DataFrame, rules: Rules, fitted: Filter, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (or null), verdict (the rule's, else by the classifier), score, words of the host."""
     urls = df.select(F.col(f"`{id_col}`").alias("page_id"), host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"))
-    model = model.over(urls)
-    logs, total, longest = model.logs, model.total, model.longest
+    bayes = fitted.bayes
 
     def run(batches):
-        model = WordModel({}, longest, total - 1)
-        model.logs = logs
-        known: dict[str, list[str]] = {}
         for batch in batches:
             out = []
-            for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                if host not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[host] = host_words(model, host)
-                score = bayes.score(["h:" + w for w in known[host]] + ["p:" + ("#" if t[0].isdigit() else t.lower()) for t in PARTS.findall(path)])
+            for host, path, words in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "words")), strict=True):
+                score = bayes.score(features(words.split(), path))
                 rule, verdict = rules.find(host, path) or (None, "block" if score >= 0.5 else "allow")
-                out.append((rule, verdict, score, " ".join(known[host])))
-            cols = list(zip(*out, strict=True)) or [[], [], [], []]
+                out.append((rule, verdict, score))
+            cols = list(zip(*out, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id").cast(pa.int64()), batch.column("host"), batch.column("path"), *(pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.float64(), pa.string()), strict=True))],
+                [batch.column("page_id").cast(pa.int64()), batch.column("host"), batch.column("path"), *(pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.float64()), strict=True)), batch.column("words")],
                 ["page_id", "host", "path", "rule", "verdict", "score", "words"],
             )
 
-    return urls.mapInArrow(run, JUDGED_SCHEMA)
+    return urls.join(fitted.words.segmented(urls), "host").select("page_id", "host", "path", "words").mapInArrow(run, JUDGED_SCHEMA)

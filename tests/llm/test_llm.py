@@ -129,13 +129,38 @@ def plain_rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
+def plain_bayes(training, words, path):
+    """Multinomial naive Bayes with add-one smoothing, of rows labelled 0 or 1."""
+    bags = [(url_filter.features(w, p), bool(y)) for w, p, y in training]
+    vocabulary = {x for b, _ in bags for x in b}
+    odds = math.log((sum(y for _, y in bags) + 1) / (sum(not y for _, y in bags) + 1))
+    for x in url_filter.features(words, path):
+        if x in vocabulary:
+            share = [(sum(b.count(x) for b, y in bags if y == c) + 1) / (sum(len(b) for b, y in bags if y == c) + len(vocabulary)) for c in (True, False)]
+            odds += math.log(share[0] / share[1])
+    return 1 / (1 + math.exp(-odds)) if any(y for _, y in bags) else 0.0
+
+
 def test_urls(spark, data):
     pages = spark.read.parquet(f"{data}/pages.parquet")
     odd = spark.createDataFrame([(-i, u, "<p>x</p>") for i, u in enumerate(URLS, 1)], "page_id long, url string, html string")
-    model, bayes = url_filter.fit(pages)
-    rows = url_filter.judge(pages.select(odd.columns).unionByName(odd), url_filter.Rules(entries.URL_RULES), model, bayes).collect()
-    by_id = {r["page_id"]: r["url"] for r in pages.collect()} | {-i: u for i, u in enumerate(URLS, 1)}
+    odd = odd.unionByName(spark.createDataFrame([(-100, "http://" + "spampills" * 30 + ".org/", None), (-101, "http://h.org/", None)], odd.schema))
+    fitted = url_filter.fit(pages.unionByName(odd).withColumns({"host": F.lit("clash"), "label": F.lit("clash"), "words": F.lit(1)}))
+    rows = url_filter.judge(pages.select(odd.columns).unionByName(odd).withColumns({"host": F.lit("clash"), "words": F.lit(1)}), url_filter.Rules(entries.URL_RULES), fitted).collect()
+    by_id = {r["page_id"]: r["url"] for r in pages.unionByName(odd).collect()}
     assert len(rows) == len(by_id)
+    assert next(r["words"] for r in rows if r["page_id"] == -100) == "spam pills " * 30 + "org"
+    counts = {r["word"]: r["count"] for r in fitted.words.table.collect()} | fitted.words.seeds
+    model = url_filter.WordModel(counts, fitted.words.total)
+    training = [(url_filter.host_words(model, h), p) for h, p in map(plain_url, by_id.values())]
+    training = [(w, p, bool(url_filter.SEEDS & set(w))) for w, p in training]
+    training = [(w, p, y or plain_bayes(training, w, p) >= 0.5) for w, p, y in training]
+    for r in rows:
+        words, path = url_filter.host_words(model, r["host"]), r["path"]
+        assert r["words"].split() == words and math.isclose(r["score"], plain_bayes(training, words, path), abs_tol=1e-9)
+    empty = url_filter.fit(pages.where("false"))
+    assert url_filter.judge(pages.where("false"), url_filter.Rules([]), empty).count() == 0
+    assert {r["verdict"] for r in url_filter.judge(odd, url_filter.Rules([]), empty).collect()} == {"allow"}
     for r in rows:
         host, path = plain_url(by_id[r["page_id"]])
         rule, action = plain_rule(host, path)
@@ -155,11 +180,23 @@ def test_segmentation_equals_all_splits():
     assert model.segment("cheappillsonline") == ["cheap", "pills", "online"]
 
 
-def test_words_that_go_with_seeds_are_blocked_too():
-    model = url_filter.WordModel({w: 100 for w in ("free", "bets", "win", "news", "daily")})
-    rows = [("freebets.org", "/win/1"), ("winbets.org", "/free"), ("dailynews.org", "/en/2"), ("news.org", "/en/3")] * 5
-    bayes = url_filter.NaiveBayes((url_filter.tokens(model, h, p), y) for (h, p), y in zip(rows, url_filter.seed_labels(model, [h for h, _ in rows]), strict=True))
-    assert bayes.score(url_filter.tokens(model, "freewin.org", "/free")) > 0.5 > bayes.score(url_filter.tokens(model, "daily.org", "/en/9"))
+def made_hosts(rng, n, bad):
+    """Names of two to four concatenated words, of which unwanted ones have words that seeds go with."""
+    plain, odd = ("river", "garden", "music", "letter", "school", "bread", "winter", "harbour"), ("lucky", "jackpot", "bets", "casino", "slots", "poker")
+    return ["".join(rng.choice(odd if bad and k < 2 else plain) for k in range(rng.integers(2, 5))) for _ in range(n)]
+
+
+def test_unseen_concatenated_hosts_are_judged_by_what_goes_with_seeds(spark):
+    rng = np.random.default_rng(3)
+    rows = [(h, y) for y in (0, 1) for h in made_hosts(rng, 300, y)]
+    html = "<p>" + "river garden music letter school bread winter harbour lucky jackpot org net " * 3 + "</p>"
+    pages = spark.createDataFrame([(i, f"http://{h}.org/{'play' if y else 'read'}/{i}", html, y) for i, (h, y) in enumerate(rows)], "page_id long, url string, html string, y int")
+    new = [(h, y) for y in (0, 1) for h in made_hosts(np.random.default_rng(4), 60 + 600 * y, y) if h not in dict(rows) and not any(x in h for x in url_filter.SEEDS)]
+    asked = spark.createDataFrame([(i, f"http://www.{h}.net/") for i, (h, _) in enumerate(new)], "page_id long, url string")
+    for fitted in (url_filter.fit(pages), url_filter.fit(pages, label_col="y")):
+        got = {r["page_id"]: r["verdict"] == "block" for r in url_filter.judge(asked, url_filter.Rules([]), fitted).collect()}
+        hits = sum(got[i] for i, (_, y) in enumerate(new) if y)
+        assert len(new) > 80 and hits >= 0.9 * sum(y for _, y in new) and hits >= 0.9 * sum(got.values())
     assert url_filter.NaiveBayes([(["a"], 0)]).score(["a"]) == 0.0
 
 
@@ -324,11 +361,12 @@ def test_arranged_pieces_cover_every_token_once(lengths):
 def test_words_of_all_pages_count_and_the_sample_is_bounded(spark):
     rows = [(i, None if i % 3 else f"http://h{i}.org/", "<p>lorem ipsum</p>") for i in range(600)] + [(601, "http://quietharbour.org/", "<p>quiet harbour quiet harbour</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    model, bayes = url_filter.fit(pages, fit_rows=30)
+    fitted = url_filter.fit(pages, fit_rows=30)
     odd = spark.createDataFrame([(0, "http://loremharbour.net/")], "page_id long, url string")
-    got = [r["words"] for r in url_filter.judge(pages.select(odd.columns).where("page_id = 601").unionByName(odd), url_filter.Rules([]), model, bayes).orderBy("page_id").collect()]
+    got = [r["words"] for r in url_filter.judge(pages.select(odd.columns).where("page_id = 601").unionByName(odd), url_filter.Rules([]), fitted).orderBy("page_id").collect()]
     assert [w.split()[:2] for w in got] == [["lorem", "harbour"], ["quiet", "harbour"]]
-    assert url_filter.sampled(pages.withColumn("page_id", F.when(F.col("page_id") % 3 == 0, F.col("page_id"))), "page_id", 30).count() < 60
+    assert url_filter.sampled(pages, 30).count() < 60
+    assert url_filter.sampled(pages.select(F.when(F.col("page_id") % 3 == 0, F.col("page_id")).alias("page_id"), "html"), 30).count() < 60
 
 
 # --- 6 ---
