@@ -1,17 +1,22 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree. Subtrees that are never main text by their tag, role, class
-or id (menus, footers, adverts, forms, comments ...) are left out. Ids of headings are slugs
-of their words and tell nothing; ids of sections, and in an article or main element names
-that hold such a word only as a part, count where half of the characters are links. Every remaining node
-gets a link-adjusted number of characters per tag; a node's density sum is the sum of
-its children's densities. The node of the largest sum gives the threshold: the least
-density on its path to the body. Walking down from the body through nodes that reach
-the threshold, the largest-sum subtree of each is main text. A subtree that lies in an
-article or main element is widened to the outermost such element.
+A page is parsed into a tree. Elements that are never main text by their tag, role or a
+whole word of their class or id (menus, footers, adverts, comments ...) are left out. Weaker
+evidence only raises a doubt, which the text decides: an element with a boilerplate word
+as a part of a name, and a form, are left out unless they hold most of the page's plain text (the
+characters outside of links); within an article or main element, and for ids of sections, they are left
+out if half of their characters are links. Words after "no", "has", "with" and the like, and ids of
+headings, which are slugs, tell nothing. The fields of a form go in any case.
+
+Every remaining node gets its composite text density, a link-adjusted number of characters
+per tag; a node's density sum is the sum of its children's densities. The node of the
+largest sum gives the threshold: the least density on its path to the body. Walking down
+from the body through nodes that reach the threshold, the largest-sum subtree of each is main
+text. A subtree that lies in an article or main element is widened to the outermost such element.
 
 Cases: null or empty html gives an empty text; broken and cut markup is read as far as
-it goes; very long pages are read whole; repeated rows are kept, each by itself.
+it goes; very long pages are read whole; repeated rows are kept, each by itself; character
+references are decoded in each run of text by itself, so none arises across tags.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ BLOCK = frozenset(
 )
 CLOSES_P = BLOCK - frozenset("body caption dd dt html legend li tbody td tfoot th thead tr".split())
 DROPPED = frozenset(
-    "head script style noscript template title nav footer header aside form button select option textarea input iframe object "
+    "head script style noscript template title nav footer header aside button select option textarea input label legend iframe object "
     "embed svg canvas audio video dialog menu map noembed noframes".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
@@ -44,6 +49,9 @@ BOILERPLATE = frozenset(
     "subscribe subscription signup login comment comments reply replies disqus discussion respond share sharing social related "
     "recommended recommendations pagination pager toolbar widget".split()
 )
+#: Boilerplate that may well be longer than the article.
+COMMENTS = frozenset("comment comments reply replies disqus discussion respond".split())
+NEGATIONS = frozenset("no not non has have with without hide hidden show is".split())
 KEPT = frozenset("html body article main".split())
 LANDMARKS = frozenset(["article", "main"])
 SAME_CLOSES = {  # a start tag of the key closes an open element of the value, not beyond the containers that follow
@@ -67,32 +75,49 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in RAW}
 
 
-KEEP, DROP, DOUBT = range(3)
+KEEP, DROP, BY_LINKS, BY_SHARE = range(4)
+
+
+def _named(value: str) -> tuple[bool, bool, bool]:
+    """Whether a class or id has a boilerplate word, one that is a whole name, and one for comments."""
+    found = whole = comments = False
+    for name in value.split():
+        parts = [x.lower() for x in NAME_PARTS.findall(name)]
+        for k, part in enumerate(parts):
+            if part in BOILERPLATE and not (k and parts[k - 1] in NEGATIONS):
+                found = True
+                whole |= len(parts) == 1 and len(name) == len(part)
+                comments |= part in COMMENTS
+    return found, whole, comments
 
 
 def _verdict(tag: str, attributes: str, names: list[str]) -> int:
-    """Whether an element below the open ones of ``names`` is dropped, or only if most of its characters are links."""
+    """Whether an element below the open ones of ``names`` is kept or dropped, or which share decides."""
     if tag in DROPPED:
         return DROP
-    if not attributes:
-        return KEEP
+    landmark = not LANDMARKS.isdisjoint(names)
     verdict, seen = KEEP, set()
+    if tag == "form":
+        verdict = BY_SHARE
+    if not attributes:
+        return verdict
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in seen:
             continue  # the first of a name counts
         seen.add(name)
         if name in ("class", "id"):
-            if tag in KEPT or BOILERPLATE.isdisjoint(map(str.lower, NAME_PARTS.findall(value))):
+            if tag in KEPT:
+                continue
+            found, whole, comments = _named(value)
+            if not found or name == "id" and tag in HEADINGS:
                 continue
-            if name == "id" and tag in HEADINGS:
-                continue  # a slug of the heading's words
             if name == "id" and tag == "section":
-                verdict = DOUBT
-            elif LANDMARKS.isdisjoint(names) or not BOILERPLATE.isdisjoint(value.lower().split()):
+                verdict = max(verdict, BY_LINKS)
+            elif whole or comments:
                 return DROP
             else:
-                verdict = DOUBT
+                verdict = max(verdict, BY_LINKS if landmark else BY_SHARE)
             continue
         value = value.lower()
         if name == "role":
@@ -108,7 +133,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.tags, self.parents, self.content = ["#root"], [-1], [[]]
-        self.doubted: list[int] = []
+        self.doubted: list[tuple[int, int]] = []
         self.gone: set[int] = set()
         self._read(page)
         if self.doubted:
@@ -123,7 +148,7 @@ class Tree:
             m = find(page, at)
             stop = m.start() if m else len(page)
             if stop > at and not dropped:
-                self.content[stack[-1]].append(page[at:stop])
+                self.content[stack[-1]].append(html_module.unescape(page[at:stop]))
             if not m:
                 return
             at = m.end()
@@ -170,11 +195,11 @@ class Tree:
                 stack.append(stack[-1])
             else:
                 stack.append(self._add(tag, stack[-1]))
-                if verdict == DOUBT:
-                    self.doubted.append(stack[-1])
+                if verdict != KEEP:
+                    self.doubted.append((stack[-1], verdict))
 
     def _settle(self) -> None:
-        """Takes out the doubted subtrees with links for half of their characters or more."""
+        """Takes out the doubted subtrees that their share of links, or of the page's plain text, speaks against."""
         n = len(self.tags)
         chars, links = [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
@@ -183,7 +208,9 @@ class Tree:
                 links[i] = chars[i]
             chars[self.parents[i]] += chars[i]
             links[self.parents[i]] += links[i]
-        out = {i for i in self.doubted if 2 * links[i] >= chars[i]}
+        chars[0] += sum(len("".join(x.split())) for x in self.content[0] if isinstance(x, str))
+        most = (chars[0] - links[0]) / 2
+        out = {i for i, why in self.doubted if (2 * links[i] >= chars[i] if why == BY_LINKS else chars[i] - links[i] <= most)}
         for i in range(1, n):
             if i in out or self.parents[i] in self.gone:
                 self.gone.add(i)
@@ -219,12 +246,13 @@ class _Mark(str):
     """Stands for a void element among the texts of a node."""
 
 
-VOID_MARK = {"br": _Mark(" "), "hr": _Mark("\0"), "wbr": _Mark(""), "img": _Mark("")}
+RULE = _Mark("")
+VOID_MARK = {"br": _Mark(" "), "hr": RULE, "wbr": _Mark(""), "img": _Mark("")}
 BUTTON_SCOPE = frozenset("button table td th caption html body article".split())
 
 
 def densities(tree: Tree) -> tuple[list[float], list[float]]:
-    """Composite density and density sum of each node."""
+    """Composite density and density sum of each node. On a page without links it is the number of characters per tag."""
     n = len(tree.tags)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i in range(n - 1, -1, -1):
@@ -244,9 +272,12 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
         c, t = chars[i], tags[i] or 1
         if not c:
             continue
+        if not all_links:
+            density[i] = c / t
+            continue
         lc, lt = link_chars[i] or 1, link_tags[i] or 1
-        base = math.log(c / max(1, c - link_chars[i]) * link_chars[i] + all_links / all_chars * c + math.e)
-        density[i] = c / t * math.log(max(1.0, c / lc * t / lt) + 1e-9) / base if link_chars[i] else c / t
+        base = math.log(c / max(1, c - link_chars[i]) * lc + all_links / all_chars * c + math.e)  # more than ln(1 + e)
+        density[i] = c / t * max(0.0, math.log(c / lc * t / lt)) / math.log(base)
     total = [0.0] * n
     for i in range(1, n):
         total[tree.parents[i]] += density[i]
@@ -299,7 +330,7 @@ def render(tree: Tree, roots: list[int]) -> str:
     parts: list[str] = []
 
     def flush():
-        text = " ".join(html_module.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text:
             out.append(text)
         parts.clear()
@@ -312,7 +343,7 @@ def render(tree: Tree, roots: list[int]) -> str:
         while todo:
             x = todo.pop()
             if isinstance(x, str):
-                if x == "\0":
+                if x is RULE:
                     flush()
                 else:
                     parts.append(x)

@@ -551,6 +551,53 @@ def test_only_real_attributes_and_whole_names_drop_text():
     assert htmltext.main_text(f'<body title="hidden"><h1 id=comments>E</h1><p alt="x hidden y">{LONG}</p></body>').endswith(LONG.strip())
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f'<body><div class="layout no-sidebar"><p>{LONG}</p><p>{LONG}</p></div><div>short</div>', [LONG, LONG]),
+        (f'<body><div class="has-header"><p>{LONG}</p><p>{LONG}</p></div><div>short</div>', [LONG, LONG]),
+        (f'<body><div class="page-sidebar"><div class=sidebar><a href=x>no</a></div><p>{LONG}</p><p>{LONG}</p></div><div>short</div>', [LONG, LONG]),
+        (f"<body><form id=f><input name=a><label>no</label><div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><button>no</button></form>", ["T", LONG, LONG]),
+        (f"<body><form><article><h1>T</h1><p>{LONG}</p></article></form>", ["T", LONG]),
+        (f"<body><main><p>short</p></main><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>", [LONG] * 3),
+        (f'<body><div class="readerComments"><p>{LONG * 5}</div><div><p>{LONG}</p></div>', [LONG]),
+        ("<p>a &am<b>p;</b> b &amp; c&#x41;</p>", ["a &amp; b & cA"]),
+    ],
+)
+def test_names_and_landmarks_only_raise_doubts(page, want):
+    assert htmltext.main_text(page) == "\n\n".join(x.strip() for x in want)
+
+
+def test_densities_follow_the_formula():
+    links = "<ul>" + "".join(f"<li><a href={i}>link <b>{i}</b></a>" for i in range(12)) + "</ul>"
+    tree = htmltext.Tree(f"<body>{links}<div><h1>T</h1><p>{LONG}<a href=x>one link</a></p><p>{LONG}</p></div><a href=y>y</a>")
+    below = lambda i: [x for x in tree.content[i] if not isinstance(x, str)]
+    chars = lambda i: sum(len("".join(x.split())) for x in tree.content[i] if isinstance(x, str)) + sum(map(chars, below(i)))
+    tags = lambda i: sum(1 + tags(x) for x in below(i))
+    linked = lambda i, f: f(i) if tree.tags[i] == "a" else sum(linked(x, f) for x in below(i))
+    density, total = htmltext.densities(tree)
+    for i in range(len(tree.tags)):
+        c, t = chars(i), tags(i) or 1
+        lc, lt = linked(i, chars), linked(i, lambda x: tags(x) + 1)
+        base = math.log(c / max(1, c - lc) * (lc or 1) + linked(0, chars) / chars(0) * c + math.e)
+        want = c / t * max(0, math.log(c / (lc or 1) * t / (lt or 1), base)) if c else 0
+        assert math.isclose(density[i], want, abs_tol=1e-9)
+        assert math.isclose(total[i], sum(density[x] for x in below(i)) if below(i) else density[i], abs_tol=1e-9)
+
+
+def test_pages_without_landmarks(spark, data):
+    """Density alone finds nearly all of the text of pages whose articles are plain containers."""
+    same = kept = total = 0
+    rows = spark.read.parquet(f"{data}/pages.parquet").collect()
+    for r in rows:
+        want = htmltext.main_text(r["html"])
+        got = htmltext.main_text(r["html"].replace("article>", "div>"))
+        same += got == want
+        kept += sum(p in got for p in want.split("\n\n"))
+        total += len(want.split("\n\n"))
+    assert same >= 0.5 * len(rows) and kept >= 0.9 * total, (same, len(rows), kept, total)
+
+
 def test_pages(spark, data):
     import html
 
