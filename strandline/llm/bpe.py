@@ -8,7 +8,8 @@ place in the index. Words whose replay would leave rank order (a merge that give
 a lower rank) are done again one by one, so ids equal those of the usual encoder.
 
 Cases: null counts as empty and gives no ids; repeated words cost nothing more; very
-long texts are encoded whole; the result of a row doesn't depend on its block.
+long texts are encoded whole; the result of a row doesn't depend on its block; an empty
+table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import base64
 import hashlib
 import heapq
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,12 @@ class Replay:
         order = np.argsort(np.array(keys, np.int64))
         self.pair_keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.pair_ranks = np.append(np.array(values, np.int32)[order], NONE)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words that ``encode_texts`` has kept."""
+        self.codes = Codes()
+        self.known_ids, self.known_bounds = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right
@@ -140,18 +148,26 @@ class Replay:
         return ids, bounds
 
     def encode_one(self, word: bytes) -> list[int]:
-        """The lowest rank first, the leftmost of equals, one merge at a time."""
+        """The lowest rank first, the leftmost of equals, one merge at a time; a heap holds the pairs."""
         parts = [self.ranks[word[i : i + 1]] for i in range(len(word))]
-        while len(parts) > 1:
-            best, where = None, -1
-            for i in range(len(parts) - 1):
-                r = self.ranks.get(self.token_bytes[parts[i]] + self.token_bytes[parts[i + 1]])
-                if r is not None and (best is None or r < best):
-                    best, where = r, i
-            if best is None:
-                break
-            parts[where : where + 2] = [best]
-        return parts
+        n = len(parts)
+        following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = lambda i: self.ranks.get(self.token_bytes[parts[i]] + self.token_bytes[parts[following[i]]])
+        heap = [(r, i) for i in range(n - 1) if (r := pair(i)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if parts[i] < 0 or following[i] >= n or pair(i) != r:
+                continue  # one of the two has changed since
+            gone = following[i]
+            parts[i], parts[gone] = r, -1
+            following[i] = after = following[gone]
+            if after < n:
+                previous[after] = i
+            for k in (previous[i], i):
+                if k >= 0 and following[k] < n and (rank := pair(k)) is not None:
+                    heapq.heappush(heap, (rank, k))
+        return [p for p in parts if p >= 0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -175,13 +191,21 @@ def replay_of(path: str) -> Replay:
     return _replays[path]
 
 
+#: Words whose ids a task keeps from block to block; beyond that it begins anew.
+CACHED_WORDS = 300_000
+
+
 def encode_texts(replay: Replay, pattern: regex.Pattern, values: list[str]) -> list[np.ndarray]:
-    """Ids of each text of a block."""
-    codes = Codes()
-    find, code = pattern.findall, codes.__getitem__
+    """Ids of each text of a block. Only the words that no block before had are replayed."""
+    if len(replay.codes) > CACHED_WORDS:
+        replay.forget()
+    find, code = pattern.findall, replay.codes.__getitem__
     which = [np.fromiter(map(code, find(text)), np.int64) for text in values]
-    ids, bounds = replay.encode([w.encode() for w in codes])
-    return [gather(ids, bounds, w) for w in which]
+    known = len(replay.known_bounds) - 1
+    ids, bounds = replay.encode([w.encode() for w in islice(replay.codes, known, None)])
+    replay.known_ids = np.concatenate([replay.known_ids, ids.astype(np.int32)])
+    replay.known_bounds = np.concatenate([replay.known_bounds, replay.known_bounds[-1] + bounds[1:]])
+    return [gather(replay.known_ids, replay.known_bounds, w) for w in which]
 
 
 ENCODED_SCHEMA = "doc_id long, ids array<int>"
