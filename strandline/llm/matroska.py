@@ -3,10 +3,13 @@
 ``parse`` reads variable-length EBML elements: tracks, clusters (of unknown size too),
 simple blocks and block groups with every kind of lacing, and cues. ``mux`` writes one
 audio track of 8-bit samples with fixed-size lacing and cues. Both are plain Python over
-one value of a binary column; the table functions run them per Arrow batch.
+one value of a binary column; the table functions run them per Arrow batch: ``packet_table``
+has the packets with the clusters they lie in, ``cue_table`` the cues with the clusters they point at.
 
 Cases: null or empty bytes give no packet; damaged bytes give the packets before the
-damage; null texts count as empty; ids may repeat, each row is handled by itself.
+damage, and a frame that is cut off or lacing that doesn't fit its block is damage; null
+texts count as empty; ids may repeat, each row is handled by itself; an empty table gives no row;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,13 +50,14 @@ class Packet(NamedTuple):
     keyframe: bool
     offset: int
     length: int
+    cluster: int  #: number of its cluster
 
 
 class Media(NamedTuple):
     tracks: list[dict]
     packets: list[Packet]
     cues: list[tuple[int, int, int]]  #: nanoseconds, track, offset of the cluster in the file
-    clusters: list[int]
+    clusters: list[int]  #: offset of each cluster in the file
 
 
 def _size(n: int) -> bytes:
@@ -120,7 +124,14 @@ def _vint(data: bytes, at: int, keep_marker: bool) -> tuple[int, int]:
 
 
 def elements(data: bytes, start: int, end: int) -> Iterator[tuple[int, int, int]]:
-    """(id, start of the content, end of the content) of each element in turn. One of unknown size ends before the next top-level element, or at ``end``."""
+    """(id, start of the content, end of the content) of each element in turn."""
+    for kind, body, stop, _ in placed(data, start, end):
+        yield kind, body, stop
+
+
+def placed(data: bytes, start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """(id, start of the content, end of the content, start of the element) of each element in turn. One of unknown size ends before the next
+    top-level element, or at ``end``. Of a cut element with elements inside, what is there is given; any other is damage."""
     at = start
     while at < end:
         kind, body = _vint(data, at, True)
@@ -137,7 +148,9 @@ def elements(data: bytes, start: int, end: int) -> Iterator[tuple[int, int, int]
                 stop = b + n
         else:
             stop = body + size
-        yield kind, body, min(stop, end)
+        if stop > end and kind not in MASTERS:
+            raise ValueError("an element is cut off")
+        yield kind, body, min(stop, end), at
         at = stop
 
 
@@ -149,6 +162,8 @@ def laced(data: bytes, at: int, end: int, lacing: int) -> list[tuple[int, int]]:
     at += 1
     sizes: list[int] = []
     if lacing == 2:
+        if (end - at) % count:
+            raise ValueError("fixed-size lacing that doesn't divide the block")
         sizes = [(end - at) // count] * count
     elif lacing == 1:
         for _ in range(count - 1):
@@ -194,7 +209,7 @@ def parse(data: bytes) -> Media:
 
 def _segment(data: bytes, start: int, end: int, media: Media) -> None:
     scale, durations = 1_000_000, {}
-    for kind, a, b in elements(data, start, end):
+    for kind, a, b, place in placed(data, start, end):
         if kind == INFO:
             for k, c, d in elements(data, a, b):
                 if k == TIMESTAMP_SCALE:
@@ -211,19 +226,19 @@ def _segment(data: bytes, start: int, end: int, media: Media) -> None:
                     durations[track.get(TRACK_NUMBER, 0)] = track.get(DEFAULT_DURATION, 0)
                     media.tracks.append({"number": track.get(TRACK_NUMBER, 0), "type": track.get(TRACK_TYPE, 0), "codec": track.get(CODEC_ID, "")})
         elif kind == CLUSTER:
-            media.clusters.append(a)
+            media.clusters.append(place)
             base = 0
             for k, c, d in elements(data, a, b):
                 if k == TIMESTAMP:
                     base = _number(data, c, d)
                 elif k == SIMPLE_BLOCK:
-                    _block(data, c, d, base, scale, durations, media.packets, None)
+                    _block(data, c, d, base, scale, durations, media, None)
                 elif k == BLOCK_GROUP:
                     inner = list(elements(data, c, d))
                     refers = any(m == 0xFB for m, _, _ in inner)
                     for m, e, f in inner:
                         if m == BLOCK:
-                            _block(data, e, f, base, scale, durations, media.packets, not refers)
+                            _block(data, e, f, base, scale, durations, media, not refers)
         elif kind == CUES:
             for k, c, d in elements(data, a, b):
                 if k != CUE_POINT:
@@ -237,34 +252,56 @@ def _segment(data: bytes, start: int, end: int, media: Media) -> None:
                         media.cues.append((time, found.get(CUE_TRACK, 0), start + found.get(CUE_CLUSTER_POSITION, 0)))
 
 
-def _block(data: bytes, a: int, b: int, base: int, scale: int, durations: dict, packets: list, key: bool | None) -> None:
+def _block(data: bytes, a: int, b: int, base: int, scale: int, durations: dict, media: Media, key: bool | None) -> None:
     track, at = _vint(data, a, False)
     relative, flags = struct.unpack_from(">hB", data, at)
     first, each = (base + relative) * scale, durations.get(track, 0)
     key = bool(flags & 0x80) if key is None else key
     for i, (offset, length) in enumerate(laced(data, at + 3, b, flags >> 1 & 3)):
-        packets.append(Packet(track, first + i * each, key, offset, length))
+        media.packets.append(Packet(track, first + i * each, key, offset, length, len(media.clusters) - 1))
 
 
-PACKET_SCHEMA = "media_id long, packet long, track long, codec string, timestamp_ns long, keyframe boolean, offset long, length long"
+PACKET_SCHEMA = (
+    "media_id long, packet long, track long, codec string, timestamp_ns long, keyframe boolean, offset long, length long, cluster long, cluster_offset long, cued boolean"
+)
+CUE_SCHEMA = "media_id long, cue long, timestamp_ns long, track long, cluster_offset long, cluster long"
+_KINDS = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
 
 
-def packet_table(df: DataFrame, id_col: str, bytes_col: str) -> DataFrame:
-    """One row per packet of each value of a binary column."""
+def _rows_of(df: DataFrame, id_col: str, bytes_col: str, schema: str, rows_of) -> DataFrame:
+    fields = [c.split() for c in schema.split(", ")]
 
     def run(batches):
         for block in blocks(batches):
-            rows = []
-            for i, data in zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist(), strict=True):
-                media = parse(data or b"")
-                codecs = {t["number"]: t["codec"] for t in media.tracks}
-                rows += [(i, n, p.track, codecs.get(p.track), *p[1:]) for n, p in enumerate(media.packets)]
-            names = ["media_id", "packet", "track", "codec", "timestamp_ns", "keyframe", "offset", "length"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-    return texts(df, id_col, bytes_col).mapInArrow(run, PACKET_SCHEMA)
+            rows = [(i, *row) for i, data in zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist(), strict=True) for row in rows_of(parse(data or b""))]
+            columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+    return texts(df, id_col, bytes_col).mapInArrow(run, schema)
+
+
+def packet_table(df: DataFrame, id_col: str, bytes_col: str) -> DataFrame:
+    """One row per packet of each value of a binary column; ``cued``: whether a cue of its track points at its cluster."""
+
+    def rows_of(media: Media) -> Iterator[tuple]:
+        codecs = {t["number"]: t["codec"] for t in media.tracks}
+        cued = {(track, at) for _, track, at in media.cues}
+        for n, p in enumerate(media.packets):
+            at = media.clusters[p.cluster]
+            yield n, p.track, codecs.get(p.track), p.timestamp_ns, p.keyframe, p.offset, p.length, p.cluster, at, (p.track, at) in cued
+
+    return _rows_of(df, id_col, bytes_col, PACKET_SCHEMA, rows_of)
+
+
+def cue_table(df: DataFrame, id_col: str, bytes_col: str) -> DataFrame:
+    """One row per cue of each value of a binary column; ``cluster``: the number of the cluster at its offset, null if there is none."""
+
+    def rows_of(media: Media) -> Iterator[tuple]:
+        number = {at: n for n, at in enumerate(media.clusters)}
+        for n, (time, track, at) in enumerate(media.cues):
+            yield n, time, track, at, number.get(at)
+
+    return _rows_of(df, id_col, bytes_col, CUE_SCHEMA, rows_of)
 
 
 def payload_of(text: str) -> tuple[bytes, int]:

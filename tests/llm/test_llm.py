@@ -230,6 +230,17 @@ def test_bpe_replay_equals_one_word_at_a_time(values):
         assert ids.tolist() == [t for w in pattern.findall(text) for t in replay.encode_one(w.encode())]
 
 
+def test_bpe_of_long_words_empty_tables_and_many_blocks(spark, monkeypatch):
+    usual, replay = encoding(), bpe.Replay(bpe.load_ranks(RANKS))
+    long = "abcdefgh" * 9_000
+    assert replay.encode_one(long.encode()) == usual.encode_ordinary(long)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 5)
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    for texts in (["one two three", "two"], ["three four", ""], ["five six seven one", "\n\n"], [""], ["one four"]):
+        assert [x.tolist() for x in bpe.encode_texts(replay, pattern, texts)] == [usual.encode_ordinary(t) for t in texts]
+    assert bpe.round_trip(documents(spark, ODD).where("false"), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_bpe_with_ranks_out_of_order():
     """A merge gives rise to a lower rank: such words are done again one merge at a time."""
     ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"cd": 257, b"ab": 258, b"abcd": 259}
@@ -259,7 +270,7 @@ def test_packet_times_and_cues():
     assert b"".join(stored[p.offset : p.offset + p.length] for p in media.packets) == payload
     assert len(media.cues) == len(media.clusters) == 3
     for (time, track, at), cluster in zip(media.cues, media.clusters, strict=True):
-        assert track == 1 and stored[at : at + 4] == matroska.CLUSTER.to_bytes(4, "big") and at < cluster
+        assert track == 1 and stored[at : at + 4] == matroska.CLUSTER.to_bytes(4, "big") and at == cluster
         assert any(p.timestamp_ns == time for p in media.packets)
     assert media.tracks == [{"number": 1, "type": 2, "codec": "A_PCM/INT/LIT"}]
 
@@ -296,6 +307,15 @@ def test_packet_table_and_damage(spark):
     df = spark.createDataFrame([(1, good), (2, None), (3, b""), (4, good[: len(good) - 400]), (5, b"\x00nonsense")], "id long, media binary")
     counts = collections.Counter(r["media_id"] for r in matroska.packet_table(df, "id", "media").collect())
     assert counts[1] == 3 and set(counts) <= {1, 4}
+    assert all(r["cued"] and r["cluster"] == 0 for r in matroska.packet_table(df, "id", "media").where("media_id = 1").collect())
+    assert [(r["media_id"], r["cue"], r["cluster"]) for r in matroska.cue_table(df, "id", "media").collect()] == [(1, 0, 0)]
+    odd = documents(spark, ODD).where("false")
+    assert matroska.stored_texts(odd).count() == matroska.packet_table(df.where("false"), "id", "media").count() == 0
+    e, u = matroska._element, matroska._uint
+    cluster = lambda body: e(matroska.EBML, b"") + e(matroska.SEGMENT, e(matroska.CLUSTER, u(matroska.TIMESTAMP, 1) + body))
+    fixed = lambda n: e(matroska.SIMPLE_BLOCK, b"\x81\0\0\x84\x02" + b"x" * n)
+    assert [len(matroska.parse(cluster(fixed(9) + fixed(n))).packets) for n in (6, 7)] == [6, 3]
+    assert len(matroska.parse(cluster(fixed(9) + fixed(9))[:-1]).packets) == 3
 
 
 # --- 5 ---
