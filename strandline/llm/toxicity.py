@@ -1,18 +1,20 @@
 """Toxicity by multiple-instance learning.
 
 A text is a bag of sentences. A sentence's logit is a bias plus the weights of its words;
-a word's weight is the sum of the weights of hashed features: the word and its prefixes of
-three to seven letters, and so carries over to other endings. Noisy-or joins the sentences: a
+a word's weight is the sum of the weights of hashed features: the word and its shorter prefixes of
+three to eight letters, and so carries over to other endings. Noisy-or joins the sentences: a
 text is toxic unless every sentence is clean. Weights come from document labels alone, by
 gradient descent on the noisy-or likelihood, and then point at the offending sentences.
 Weights are 0 or more, and an L1 penalty keeps most at 0: plain words neither excuse a
 sentence nor add up to an offence, however long it is.
 
-The fit uses about ``fit_docs`` labelled texts at most of each class, chosen by a hash.
+The fit uses about ``fit_docs`` labelled ids at most of each class, chosen by a hash, and one text
+of each, so that repeated ids don't add to it.
 
 Cases: null and empty texts have one empty sentence, and the score of the bias; without
 labels of both classes every score is 0; rows with a null label don't take part in a fit;
-several labels of one id count as their maximum; repeated rows are each scored.
+several labels of one id count as their maximum, and of several texts of one id the fit
+takes the least; repeated rows are each scored; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,9 +33,9 @@ from strandline.llm.common import Codes, blocks, fold, short_batches, strings, t
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = ".!?\n"
 BUCKETS = 1 << 18
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 BIAS = -9.0
-EPOCHS, RATE, PENALTY = 60, 0.3, 0.5
+EPOCHS, RATE, PENALTY = 60, 0.3, 1.0
 CLEAN_WEIGHT = 1.0  #: how much more a clean text counts than a toxic one
 
 
@@ -46,7 +48,7 @@ def features(words: list[str]) -> np.ndarray:
             continue
         out[i, 0] = crc(w.encode()) % BUCKETS
         for k, n in enumerate(PREFIXES, 1):
-            if len(w) >= n:
+            if len(w) > n:
                 out[i, k] = crc(w[:n].encode(), n) % BUCKETS
     return out
 
@@ -160,9 +162,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         share = F.when(F.col("y") == y, min(1.0, fit_docs / n)).otherwise(share)
     sample = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < share * (1 << 30))
     # The sample's size is bounded by fit_docs, so it may be broadcast.
-    rows = texts(docs, id_col, text_col).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], na_position="first")  # the same order whatever the partitions
-    model = train([x or "" for x in rows["text"]], rows["y"].tolist())
+    met = texts(docs, id_col, text_col).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
+    rows = met.groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).toPandas()
+    rows = rows.sort_values("doc_id")  # the same order whatever the partitions
+    model = train(rows["text"].tolist(), rows["y"].tolist())
     del rows
     trim()
     return model

@@ -747,7 +747,7 @@ def test_toxicity_of_held_out_documents(spark):
     hits = sum(r["predicted"] for r in rows if truth[r["doc_id"]])
     false = sum(r["predicted"] for r in rows if not truth[r["doc_id"]])
     toxic = sum(truth[r["doc_id"]] for r in rows)
-    assert hits / toxic > 0.85 and false / (len(rows) - toxic) < 0.02
+    assert hits / toxic >= 0.88 and false / (len(rows) - toxic) < 0.02
 
 
 def test_offending_sentences(spark):
