@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Lowers the session's rows per Arrow batch to ARROW_ROWS; a lower setting stays."""
+    """Lowers the session's rows per Arrow batch to ARROW_ROWS, for later queries too; a lower setting stays. Spark has no such setting for one query."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ARROW_ROWS:
@@ -49,6 +49,11 @@ def trim() -> None:
         give_back(0)
 
 
+def gathered(df: DataFrame, least_rows: int) -> DataFrame:
+    """The frame, with small partitions read together, so that they have about ``least_rows`` rows each. No shuffle; counts the rows."""
+    return df.coalesce(max(1, -(-df.count() // least_rows)))
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that no block has more than ``limit`` bytes in ``column`` (one row at least)."""
     for batch in batches:
@@ -90,11 +95,12 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of its own for a session in one process, else one below the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process may leave it unset; it then gets a folder of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        alone = re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master)
-        at = _own_dir() if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = _own_dir()
     return at.rstrip("/")
 
 

@@ -5,11 +5,12 @@ counted by length, rounded up to UNIT tokens. All combinations of up to DEPTH le
 fill a window exactly are the columns of a matrix; non-negative least squares finds how
 often each should be used to match the histogram, and the rounded-down counts are laid
 out. What remains is packed greedily: it is poured, cut where needed, into the gaps that
-rounding left and then into new windows. Only the last window of a partition may stay
-open, so padding doesn't grow with the data.
+rounding left and then into new windows. Only the last window of a block may stay
+open.
 
-A block is at most BLOCK_TOKENS tokens of one partition, so nothing is shuffled, memory is
-bounded, and a lost task is simply run again. Sequence ids are the partition's number
+A block is BLOCK_TOKENS tokens of one partition, or its last ones, so nothing is shuffled, memory is
+bounded, and a lost task is simply run again. Small partitions are read together until they have
+about PART_ROWS rows, so open windows are a small part of all, however the table is cut. Sequence ids are the partition's number
 times 2**33 plus a count.
 
 Cases: null and empty texts are a document of the end token alone; a very long text is cut
@@ -28,12 +29,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from strandline.llm.common import Codes, blocks, strings, texts
+from strandline.llm.common import Codes, blocks, gathered, strings, texts
 
 WINDOW, UNIT, DEPTH = 2048, 16, 3
 BLOCK_TOKENS = 8 << 20
 LEAST_FILL = 16  #: gaps below this stay padding
 CACHED_CHUNKS = 450_000
+PART_ROWS = 1_000
 MARK = "\x01"
 
 
@@ -118,7 +120,7 @@ def arrange(lengths: np.ndarray, window: int = WINDOW, unit: int = UNIT, depth:
                 if window - at >= least_fill:
                     gaps.append((sequence, at, window - at))
                 sequence += 1
-    gaps.sort(key=lambda g: -g[2])
+    gaps.sort(key=lambda g: g[2])
     left = [d for b in by_bin[:0:-1] for d in b]
     at, room, target = 0, 0, -1
     for d in left:
@@ -126,7 +128,7 @@ def arrange(lengths: np.ndarray, window: int = WINDOW, unit: int = UNIT, depth:
         while size:
             if not room:
                 if gaps:
-                    target, at, room = gaps.pop(0)
+                    target, at, room = gaps.pop()
                 else:
                     target, at, room = sequence, 0, window
                     sequence += 1
@@ -156,7 +158,7 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         self.codes = Codes()
-        self.ids = np.empty(0, np.uint16)
+        self.ids = np.empty(0, np.uint32)
         self.bounds = np.zeros(1, np.int64)
 
     def _learn(self) -> None:
@@ -176,7 +178,7 @@ class ChunkEncoder:
             self.ids = np.concatenate([self.ids, ids])
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
         if len(self.codes) > CACHED_CHUNKS:
@@ -241,11 +243,11 @@ def pack(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str = "doc
         for block in blocks(batches):
             found = encoder.encode(strings(block))
             held_ids += block.column("doc_id").to_pylist()
-            held += [np.append(x, np.uint16(end_id)) for x in found]
+            held += [np.append(x, np.uint32(end_id)) for x in found]
             tokens += sum(map(len, found)) + len(found)
             if tokens >= BLOCK_TOKENS:
                 yield from flush()
         if held:
             yield from flush()
 
-    return texts(df, id_col, text_col).mapInArrow(run, PACKED_SCHEMA)
+    return gathered(texts(df, id_col, text_col), PART_ROWS).mapInArrow(run, PACKED_SCHEMA)
