@@ -15,8 +15,8 @@ where a bucket still holds several components, its members outside of the larges
 compared with all members of other components whose signatures agree with theirs in
 LEAST_AGREEMENT coordinates or more. Small buckets give such pairs to the join; the members
 of a bucket of more than SMALL are dealt into chunks with their sets, compared within the
-chunk's task, and leave it as links that join components, one for each join at most. Where a bucket
-of more than CHUNK still holds several components after that, those of its members that are outside
+chunk's task, and leave it as links that join components, one for each join at most. Where such a bucket
+still holds several components after that, those of its members that are outside
 of the largest are compared with all others, chunk by chunk, so that no pair of a bucket is left out.
 Equal texts (by their words) are one node from the start.
 
@@ -220,7 +220,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+def _across(group: pa.Table, agreement: int) -> Iterator[tuple[int, np.ndarray]]:
     """A row outside of the group's largest component, and the rows of other components that may be similar, best first; each pair once."""
     sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
     codes = Codes()
@@ -229,7 +229,7 @@ def _across(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     rows = np.arange(len(number))
     for i in np.flatnonzero(outside).tolist():
         agree = np.count_nonzero(sketches == sketches[i], axis=1)
-        maybe = np.flatnonzero((agree >= LEAST_AGREEMENT) & (number != number[i]) & (~outside | (rows < i)))
+        maybe = np.flatnonzero((agree >= agreement) & (number != number[i]) & (~outside | (rows < i)))
         if len(maybe):
             yield i, maybe[np.argsort(-agree[maybe], kind="stable")]
 
@@ -238,12 +238,12 @@ def _pairs(a: list[bytes], b: list[bytes]) -> pa.Table:
     return pa.table({"a": pa.array(map(min, a, b), pa.binary()), "b": pa.array(map(max, a, b), pa.binary())})
 
 
-def proposals(members: DataFrame) -> DataFrame:
+def proposals(members: DataFrame, agreement: int = LEAST_AGREEMENT) -> DataFrame:
     """Pairs of small buckets that are worth a check. members: band, key, label, sketch."""
 
     def run(group: pa.Table) -> pa.Table:
         keys = group.column("key").to_pylist()
-        found = [(keys[i], keys[j]) for i, others in _across(group) for j in others.tolist()]
+        found = [(keys[i], keys[j]) for i, others in _across(group, agreement) for j in others.tolist()]
         return _pairs([x for x, _ in found], [y for _, y in found])
 
     return members.groupBy("band").applyInArrow(run, "a binary, b binary").distinct()
@@ -270,16 +270,16 @@ def _joined(group: pa.Table, pairs: Iterator[tuple[int, np.ndarray]], least: flo
     return _pairs([x for x, _ in found], [y for _, y in found])
 
 
-def resolved(members: DataFrame, least: float) -> DataFrame:
+def resolved(members: DataFrame, least: float, agreement: int = LEAST_AGREEMENT) -> DataFrame:
     """Links between components within chunks of large buckets. members: band, chunk, key, label, sketch, cells."""
 
     def run(group: pa.Table) -> pa.Table:
-        return _joined(group, _across(group), least)
+        return _joined(group, _across(group, agreement), least)
 
     return members.groupBy("band", "chunk").applyInArrow(run, "a binary, b binary")
 
 
-def _between(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+def _between(group: pa.Table, agreement: int) -> Iterator[tuple[int, np.ndarray]]:
     """As ``_across``, of the rows that ask with those that are asked."""
     sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
     codes = Codes()
@@ -291,16 +291,16 @@ def _between(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     asked = np.flatnonzero(~asks)
     for i in np.flatnonzero(asks).tolist():
         agree = np.count_nonzero(sketches[asked] == sketches[i], axis=1)
-        maybe = np.flatnonzero((agree >= LEAST_AGREEMENT) & (number[asked] != number[i]) & (~outside[asked] | (place[asked] < place[i])))
+        maybe = np.flatnonzero((agree >= agreement) & (number[asked] != number[i]) & (~outside[asked] | (place[asked] < place[i])))
         if len(maybe):
             yield i, asked[maybe[np.argsort(-agree[maybe], kind="stable")]]
 
 
-def finished(members: DataFrame, cells: DataFrame, least: float) -> DataFrame:
+def finished(members: DataFrame, cells: DataFrame, least: float, agreement: int = LEAST_AGREEMENT) -> DataFrame:
     """Links between components of buckets of several chunks, across all pairs of chunks. members: band, key, label, sketch."""
 
     def run(group: pa.Table) -> pa.Table:
-        return _joined(group, _between(group), least)
+        return _joined(group, _between(group, agreement), least)
 
     by_label = members.groupBy("band", "label").count()
     tops = by_label.groupBy("band").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("size"))
@@ -314,8 +314,8 @@ def finished(members: DataFrame, cells: DataFrame, least: float) -> DataFrame:
     return asking.unionByName(asked).groupBy("band", "row", "column").applyInArrow(run, "a binary, b binary")
 
 
-def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """key and class_key of every text that is alike to a different one. ``signed`` must be materialized."""
+def classify(signed: DataFrame, least: float = SIMILARITY, agreement: int = LEAST_AGREEMENT) -> DataFrame:
+    """key and class_key of every text that is alike to a different one. ``signed`` must be materialized. ``agreement`` 0 checks every pair that shares a band."""
     nodes = materialize(signed.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "nodes")
     spread = nodes.select("key", "first", "sketch", F.posexplode("bands").alias("at", "band"), "bands")
     member = spread.select("band", "key", "first", "sketch", F.get("bands", F.pmod(F.col("at") + 1, F.lit(BANDS))).alias("other"))
@@ -338,14 +338,19 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     known = shared.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", "sketch", "other", "size", F.coalesce("label", "key").alias("label"))
     open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
     members = materialize(known.join(open_, "band"), "members")
-    more = similar(proposals(members.where(F.col("size") <= SMALL)), cells, least)
-    chunk = F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))
-    large = members.where(F.col("size") > SMALL).join(cells, "key").select("band", chunk.alias("chunk"), "key", "label", "sketch", "cells")
-    found = materialize(more.union(resolved(large, least)), "links")
+    more = similar(proposals(members.where(F.col("size") <= SMALL), agreement), cells, least)
+    # Members that share their next band too meet in a chunk; more than CHUNK of these are dealt out further, as the last step looks across chunks.
+    big = members.where(F.col("size") > SMALL)
+    same = big.groupBy("band", "other").agg(F.ceil(F.count("*") / CHUNK).alias("parts")).where("parts > 1")
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("key"), F.col("parts"))).otherwise(-1)
+    chunk = F.xxhash64(F.when(part < 0, F.pmod(F.xxhash64("other"), F.ceil(F.col("size") / CHUNK))).otherwise(F.col("other")), part)
+    dealt = big.join(same, ["band", "other"], "left").select("band", chunk.alias("chunk"), "key", "label", "sketch")
+    large = dealt.join(cells, "key").select("band", "chunk", "key", "label", "sketch", "cells")
+    found = materialize(more.union(resolved(large, least, agreement)), "links")
     discard(labels)
     labels = components(edges.union(found))
-    several = members.where(F.col("size") > CHUNK).drop("label").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    last = materialize(finished(several.select("band", "key", "label", "sketch"), cells, least), "links")
+    several = members.where(F.col("size") > SMALL).drop("label").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    last = materialize(finished(several.select("band", "key", "label", "sketch"), cells, least, agreement), "links")
     if last.limit(1).count():
         discard(labels)
         labels = components(edges.union(found).union(last))
@@ -353,26 +358,33 @@ def classify(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return labels.select(F.col("node").alias("key"), F.col("label").alias("class_key"))
 
 
-def _classes(signed: DataFrame, least: float) -> DataFrame:
-    """key, class_id and the kept (doc_id, text_hash) of its class, for every key."""
+def _classes(signed: DataFrame, least: float, agreement: int) -> DataFrame:
+    """key, class_id and the kept (doc_id, text_hash) of its class, for every key. Materialized."""
     first = signed.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
-    joined = first.join(classify(signed, least), "key", "left").select("key", "kept", F.coalesce("class_key", "key").alias("class_key"))
-    joined = materialize(joined, "classes")
+    labels = classify(signed, least, agreement)
+    joined = materialize(first.join(labels, "key", "left").select("key", "kept", F.coalesce("class_key", "key").alias("class_key")), "classes")
     best = joined.groupBy("class_key").agg(F.min("kept").alias("kept"))
-    return joined.select("key", "class_key").join(best, "class_key").select("key", "kept")
+    out = materialize(joined.select("key", "class_key").join(best, "class_key").select("key", "kept"), "classes")
+    discard(labels, joined)
+    return out
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """doc_id and class_id of every row. Runs jobs; intermediate tables lie below spark.checkpoint.dir."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, agreement: int = LEAST_AGREEMENT) -> DataFrame:
+    """doc_id and class_id of every row. Runs jobs; intermediate tables lie below spark.checkpoint.dir, of which the result's stays."""
     signed = materialize(sign(df, id_col, text_col), "signed")
-    return signed.select("doc_id", "key").join(_classes(signed, least), "key").select("doc_id", F.col("kept.doc_id").alias("class_id"))
+    classes = _classes(signed, least, agreement)
+    out = materialize(signed.select("doc_id", "key").join(classes, "key").select("doc_id", F.col("kept.doc_id").alias("class_id")), "near")
+    discard(signed, classes)
+    return out
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The rows of ``df``, all columns, one of each class: that of the least id."""
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, agreement: int = LEAST_AGREEMENT) -> DataFrame:
+    """The rows of ``df``, all columns, one of each class: that of the least id. Of rows that are equal in id and text, but not in other columns, any one stays."""
     signed = materialize(sign(df, id_col, text_col), "signed")
     kept_id, kept_hash, row_hash = (f"_{uuid.uuid4().hex}" for _ in range(3))  # no column of ``df`` has such a name
-    kept = materialize(_classes(signed, least).select("kept.doc_id", "kept.text_hash").distinct(), "kept").toDF(kept_id, kept_hash)
+    classes = _classes(signed, least, agreement)
+    kept = materialize(classes.select("kept.doc_id", "kept.text_hash").distinct(), "kept").toDF(kept_id, kept_hash)
+    discard(signed, classes)
     marked = df.withColumn(row_hash, F.xxhash64(F.col(f"`{text_col}`")))
     rows = marked.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (F.col(row_hash) == F.col(kept_hash)))
     return rows.dropDuplicates([id_col, row_hash]).select(*(F.col(f"`{c}`") for c in df.columns))

@@ -246,7 +246,7 @@ def labelled_sample(docs: DataFrame, fit_docs: int) -> tuple[DataFrame, list[str
     cut = [x for lang, n in counts.items() if n > each for x in (F.lit(lang), F.lit(int((1 << 30) * each / n)))]
     if cut:
         share = F.coalesce(F.create_map(*cut)[F.col("lang")], F.lit(1 << 30))
-        seen = seen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+        seen = seen.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share)
     return seen, sorted(counts)
 
 
