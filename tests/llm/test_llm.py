@@ -692,49 +692,46 @@ def test_search_asks_with_all_terms_of_a_text(spark):
     same_hits(rows, whole)
 
 
-def test_long_queries_leave_lists_unread_and_results_stay_exact():
-    rng = np.random.default_rng(6)
-    n, m = 3_000, 200
-    share = 0.6 / np.arange(1, m + 1)
-    which = [np.flatnonzero(rng.random(m) < share).repeat(rng.integers(1, 3)) for _ in range(n)]
-    terms, begins, ats, tfs = topk.invert(which, rng.integers(-(2**62), 2**62, m))
-    shard = topk.Shard(9.0, np.arange(n), np.array([len(w) for w in which], np.uint32), terms, begins, ats, tfs)
-    weights = [topk.idf(n, float(x)) for x in np.diff(begins)]
-    plain = np.zeros(n)
+def plain_scores(shard, weights):
+    out = np.zeros(shard.n)
     for i, w in enumerate(weights):
-        at, parts, *_ = shard.list(i)
-        plain[at] += w * parts
-    order = sorted(range(n), key=lambda d: (-plain[d], d))[:10]
-    read, sums = [], shard._sums
-    shard._sums = lambda lists, w, which: (read.append(len(which)), sums(lists, w, which))[1]
-    scores, docs = shard.search(range(m), weights, 10, np.empty(0), np.empty(0, np.int64))
-    assert docs.tolist() == order and np.array_equal(scores, plain[order]) and max(read) < m
+        at = slice(shard.begins[i], shard.begins[i + 1])
+        out[shard.ats[at]] += w * shard.parts[at]
+    return out
 
 
-def test_blocks_are_skipped_and_results_stay_exact():
-    rng = np.random.default_rng(4)
-    n = 20_000
-    which = [np.flatnonzero(rng.random(6) < (0.9, 0.5, 0.2, 0.02, 0.002, 0.001)).repeat(rng.integers(1, 4)) for _ in range(n)]
-    hashes = rng.integers(-(2**62), 2**62, 6)
-    lengths = np.array([len(w) for w in which], np.uint32)
+@pytest.mark.parametrize("seed,n,m,least", [(6, 6_000, 120, 0.002), (7, 20_000, 60, 0.0005), (8, 900, 40, 0.02)])
+def test_pivots_and_block_bounds_leave_lists_unread_and_results_stay_exact(monkeypatch, seed, n, m, least):
+    monkeypatch.setattr(topk, "MANY", 64)  # one shard has all of the best texts here
+    rng = np.random.default_rng(seed)
+    share = least + 0.3 / np.arange(1, m + 1)
+    which = [np.flatnonzero(rng.random(m) < share).repeat(rng.integers(1, 3)) for _ in range(n)]
+    hashes = np.sort(rng.integers(-(2**62), 2**62, m))
     terms, begins, ats, tfs = topk.invert(which, hashes)
+    lengths = np.array([len(w) for w in which], np.uint32)
     shard = topk.Shard(float(lengths.mean()), np.arange(n), lengths, terms, begins, ats, tfs)
-    weights = [topk.idf(n, float(x)) ** 2 for x in np.diff(begins)]  # rare terms decide
-    plain = np.zeros(n)
-    for i, w in enumerate(weights):
-        at, parts, *_ = shard.list(i)
-        plain[at] += w * parts
+    assert len(shard.rows) and len(shard.block_tops)
+    weights = np.array([topk.idf(n, float(x)) ** 4 for x in shard.sizes])  # rare terms decide
+    plain = plain_scores(shard, weights)
     order = sorted(range(n), key=lambda d: (-plain[d], d))[:10]
-    scored = []
-    score = shard._score
-    shard._score = lambda at, part, live, *rest: (scored.append(live.sum()), score(at, part, live, *rest))[1]
-    scores, docs = shard.search(list(range(6)), weights, 10, np.empty(0), np.empty(0, np.int64))
+    none = np.empty(0), np.empty(0, np.int64)
+    scores, docs = shard.search(range(len(weights)), weights, 10, *none)
     assert docs.tolist() == order and np.array_equal(scores, plain[order])
-    assert sum(scored) < shard.blocks
-    again = shard.search(list(range(6)), weights, 10, scores + 1, docs + n)
-    assert shard.search(list(range(6)), weights, 10, np.empty(0), np.empty(0, np.int64), scores[9])[1].tolist() == order
+    assert shard.search(range(len(weights)), weights, 10, *none, scores[9])[1].tolist() == order
+    again = shard.search(range(len(weights)), weights, 10, scores + 1, docs + n)
     both = sorted([(-s - 1, d + n) for s, d in zip(scores, docs, strict=True)] + [(-plain[d], d) for d in order])[:10]
     assert again[1].tolist() == [d for _, d in both]
+    lists = [np.sort(rng.choice(len(weights), rng.integers(1, len(weights)), replace=False)) for _ in range(300)]
+    shard.read = shard.scored = 0
+    found = shard.search_all(lists, [weights[x] for x in lists], 10, [none] * 300, [0.0] * 300)
+    whole, shard.read = shard.read, 0
+    for own, (scores, docs) in zip(lists, found, strict=True):
+        plain = plain_scores(shard, np.where(np.isin(np.arange(len(weights)), own), weights, 0))
+        order = sorted(np.flatnonzero(plain).tolist(), key=lambda d: (-plain[d], d))[:10]
+        assert docs.tolist() == order and np.array_equal(scores, plain[order])
+        floor = scores[-1] if len(scores) == 10 else 0.0
+        assert shard.search(own, weights[own], 10, *none, floor)[1].tolist() == order
+    assert shard.read < whole and shard.scored < 600 * n / 4
 
 
 # --- 10 ---
