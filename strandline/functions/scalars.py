@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -180,18 +179,14 @@ def human_time(ts: Column, zone: Column, zones: list[str] | None = None) -> Colu
 
 def random_group(user: Column, groups: int = 2) -> Column:
     """1 to ``groups``, from a hash of the user: the same on every run."""
-    return F.pmod(F.xxhash64(user), F.lit(groups)) + 1
+    return F.pmod(F.conv(F.substring(F.md5(user.cast("string")), 1, 8), 16, 10).cast("long"), F.lit(groups)) + 1
 
 
 # --- archive names and paths ---
 
-SENSORKIT_NAME = re.compile(r"com\.apple\.SensorKit\.([^_]+)_[A-Fa-f0-9-]+\.json\.zstd$").pattern
-HEALTHKIT_NAME = r"[A-Za-z]*Identifier[A-Za-z]*"
-
-
 def archive_collection(name: Column) -> Column:
     """The collection that an archive's file name stands for, or null."""
-    sensor, health = F.regexp_extract(name, SENSORKIT_NAME, 1), F.regexp_extract(name, HEALTHKIT_NAME, 0)
+    sensor, health = F.regexp_extract(name, vocab.SENSORKIT_PATTERN, 1), F.regexp_extract(name, vocab.HEALTHKIT_PATTERN, 0)
     return F.when(sensor != "", F.concat(F.lit("SensorKitObservations_"), sensor)).when(health != "", F.concat(F.lit("HealthObservations_"), health))
 
 

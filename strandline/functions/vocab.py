@@ -103,4 +103,16 @@ ERROR_NAMES = {
 }
 RETRY_REASONS = ["TRANSIENT_ERROR", "NOT_FOUND"]
 COLLECTION_PATTERN = r"^(?:HealthObservations|SensorKitObservations)_[A-Za-z][A-Za-z0-9]*$"
+SENSORKIT_PATTERN = r"com\.apple\.SensorKit\.([^_]+)_[A-Fa-f0-9-]+\.json\.zstd$"
+HEALTHKIT_PATTERN = r"[A-Za-z]*Identifier[A-Za-z]*"
+#: What counts as an address on the waitlist.
+EMAIL_PATTERN = r"^(?!\.)(?!.*\.\.)[A-Za-z0-9_'+\-.]*[A-Za-z0-9_+\-]@(?:[A-Za-z0-9][A-Za-z0-9\-]*\.)+[A-Za-z]{2,}$"
+#: What is wrong with an item of the deletion queue: the text before and after the value at fault (and the owner).
+QUEUE_ERRORS = {
+    "owner": ("payload userId '", "' does not match path-derived owner '", "'"),
+    "collection": ("collection '", "' is not a permitted collection name"),
+    "document": ("invalid documentId '", "'"),
+    "retries": ("invalid retryCount '", "'"),
+    "reason": ("invalid reason '", "'"),
+}
 # End of fixed values.

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.functions import vocab
 from strandline.functions.scalars import shifted, waitlist_key
 from strandline.operators.nudges import true
 
-EMAIL = r"^(?!\.)(?!.*\.\.)[A-Za-z0-9_'+\-.]*[A-Za-z0-9_+\-]@(?:[A-Za-z0-9][A-Za-z0-9\-]*\.)+[A-Za-z]{2,}$"
+EMAIL = vocab.EMAIL_PATTERN
 
 
 # --- requests ---
@@ -118,21 +120,26 @@ def batch_numbers(rows: DataFrame, partition: str, order: list[str], size: int)
 
 
 def packed_batches(rows: DataFrame, key: str, order: str, size: str, most_rows: int = 500, most_bytes: int = 9 << 20) -> DataFrame:
-    """Adds ``batch``: rows of a file in turn, a new batch where the next row would exceed either limit. The sum restarts at each batch, which no frame can say, so the sizes of a file are folded in order."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s"))))
-
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] >= most_rows) | ((acc["n"] > 0) & (acc["b"] + x["s"] > most_bytes))
-        number = F.when(full, acc["k"] + 1).otherwise(acc["k"])
-        return F.struct(
-            number.alias("k"), F.when(full, F.lit(1)).otherwise(acc["n"] + 1).alias("n"), F.when(full, x["s"]).otherwise(acc["b"] + x["s"]).alias("b"),
-            F.array_append(acc["out"], F.struct(x["o"].cast("string").alias("o"), number.alias("batch"))).alias("out"),
-        )
-
-    start = F.expr("struct(0L AS k, 0 AS n, 0L AS b, CAST(array() AS array<struct<o:string,batch:bigint>>) AS out)")
-    done = rows.groupBy(key).agg(ordered.alias("_rows")).select(key, F.explode(F.aggregate("_rows", start, step, lambda a: a["out"])).alias("_b"))
-    numbers = done.select(F.col(key).alias("_key"), F.col("_b.o").alias("_order"), F.col("_b.batch").alias("batch"))
-    return rows.join(numbers, (rows[key] == numbers["_key"]) & (rows[order].cast("string") == numbers["_order"])).drop("_key", "_order")
+    """Adds ``batch``: rows of a file in turn, a new batch where the next row would exceed either limit. The sum restarts at each batch, which no
+    window frame can say, so the rows of a partition stream past in order of files; no file is held as a whole. A file without a key is one file."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    sorted_rows = rows.repartition(F.col(key)).sortWithinPartitions(key, order)
+
+    def run(batches):
+        file, number, n, total = object(), 0, 0, 0
+        for batch in batches:
+            out = []
+            for k, s in zip(batch.column(key).to_pylist(), batch.column(size).to_pylist(), strict=True):
+                s = int(s or 0)
+                if k != file:
+                    file, number, n, total = k, 0, 0, 0
+                elif n >= most_rows or total + s > most_bytes:
+                    number, n, total = number + 1, 0, 0
+                n, total = n + 1, total + s
+                out.append(number)
+            yield batch.append_column("batch", pa.array(out, pa.int64()))
+
+    return sorted_rows.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", batch bigint")
 
 
 def latest(rows: DataFrame, key: str, time: str, tie: str) -> DataFrame:

@@ -13,6 +13,13 @@ BATCH = 500
 DELETED = "entered-in-error"
 
 
+def request_error(user: Column, collection: Column, ids: Column, most: int = 50_000) -> Column:
+    """'invalid-argument' for a request without user, collection or ids, with an empty id or with more than ``most``; else null."""
+    named = (F.coalesce(user, F.lit("")) != "") & (F.coalesce(collection, F.lit("")) != "")
+    listed = F.coalesce(F.size(ids), F.lit(0)).between(1, most) & F.coalesce(F.forall(ids, lambda x: F.coalesce(x, F.lit("")) != ""), F.lit(False))
+    return F.when(~(named & listed), "invalid-argument")
+
+
 def check_request(user_id: str, collection: str, ids: list[str], most: int = 50_000) -> None:
     """Raises ValueError for a request that isn't valid."""
     if not user_id or not collection:
@@ -68,14 +75,19 @@ def path_owner(path: Column) -> Column:
 
 def item_error(owner: Column) -> Column:
     """What is wrong with a queue item, by the first check that fails; null if nothing is."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("undefined"))
     doc = F.coalesce("documentId", F.lit(""))
+
+    def says(fault: str, column: str, *more: Column) -> Column:
+        parts = [F.coalesce(F.col(column).cast("string"), F.lit("undefined")), *more]
+        texts = vocab.QUEUE_ERRORS[fault]
+        return F.concat(F.lit(texts[0]), *(x for part, text in zip(parts, texts[1:], strict=True) for x in (part, F.lit(text))))
+
     return (
-        F.when(~F.col("userId").eqNullSafe(owner), F.concat(F.lit("payload userId '"), text("userId"), F.lit("' does not match path-derived owner '"), owner, F.lit("'")))
-        .when(~F.coalesce(F.col("collection").rlike(vocab.COLLECTION_PATTERN), F.lit(False)), F.concat(F.lit("collection '"), text("collection"), F.lit("' is not a permitted collection name")))
-        .when((doc == "") | doc.contains("/"), F.concat(F.lit("invalid documentId '"), text("documentId"), F.lit("'")))
-        .when(F.coalesce(F.col("retryCount") < 0, F.lit(True)), F.concat(F.lit("invalid retryCount '"), text("retryCount"), F.lit("'")))
-        .when(~F.coalesce(F.col("reason").isin(*vocab.RETRY_REASONS), F.lit(False)), F.concat(F.lit("invalid reason '"), text("reason"), F.lit("'")))
+        F.when(~F.col("userId").eqNullSafe(owner), says("owner", "userId", owner))
+        .when(~F.coalesce(F.col("collection").rlike(vocab.COLLECTION_PATTERN), F.lit(False)), says("collection", "collection"))
+        .when((doc == "") | doc.contains("/"), says("document", "documentId"))
+        .when(F.coalesce(F.col("retryCount") < 0, F.lit(True)), says("retries", "retryCount"))
+        .when(~F.coalesce(F.col("reason").isin(*vocab.RETRY_REASONS), F.lit(False)), says("reason", "reason"))
     )
 
 

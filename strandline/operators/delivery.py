@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.operators.accounts import overwrite
 from strandline.operators.nudges import true
 
 
@@ -43,6 +44,13 @@ def remaining(backlog: DataFrame, delivered: DataFrame) -> DataFrame:
     return backlog.join(delivered.select("user_id", "id").distinct(), ["user_id", "id"], "left_anti")
 
 
+def delivered(backlog: DataFrame, history: DataFrame, users: DataFrame, now: Column, outcome: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """History and backlog after one delivery. History is written by key before the backlog loses its rows, so a run that broke off between
+    the two can simply be run again: the same rows are due, and take the place of those it wrote."""
+    sent = archived(due(backlog, users, now), now, outcome)
+    return overwrite(history, sent, ["user_id", "id"]), remaining(backlog, sent)
+
+
 def counters(backlog: DataFrame, users: DataFrame, now: Column, delivered: DataFrame) -> DataFrame:
     """total_processed (rows of deliverable users), total_due (sent or failed), total_sent."""
     seen = backlog.join(users.where(deliverable()).select("user_id"), "user_id", "left_semi").agg(F.count("*").alias("total_processed"))

@@ -145,7 +145,7 @@ def workout_context(column: Column, available: tuple[str, ...] = WORKOUT_TYPES)
     return F.struct(kind.alias("kind"), shown.alias("selected"), F.array_join(rest, ", ").alias("others"))
 
 
-def personal_context(now: Column) -> dict[str, Column]:
+def personal_context(now: Column, gender_code: str = "genderCode") -> dict[str, Column]:
     """The parts of a prompt that depend on the user: age and its band, diseases, stage of change, reading level, gender, language. Texts around them are configuration."""
     age = age_years(F.col("dateOfBirth"), now)
     education = F.coalesce("educationUS", "educationUK")
@@ -157,7 +157,7 @@ def personal_context(now: Column) -> dict[str, Column]:
         "reading_level": F.when(education.isin("didNotAttendSchool", "gradeSchool", "highSchool", "vocationalTraining"), "basic").when(
             education.isin("someCollege", "bachelor", "master", "doctoralDegree"), "advanced"
         ),
-        "gender": F.coalesce(F.col("genderIdentity"), lookup(F.col("mhcGenderIdentity"), vocab.GENDER)),
+        "gender": F.coalesce(F.col("genderIdentity"), lookup(F.col(gender_code), vocab.GENDER)),
         "language": F.when(F.col("userLanguage") == "es", "es").otherwise("en"),
     }
 

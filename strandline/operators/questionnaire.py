@@ -2,52 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import vocab
 from strandline.functions.scalars import leading_integer, leading_number, lookup
 
-#: How deep items may lie in each other; ``flatten_items`` says where there are deeper ones.
-DEPTH = 6
-
-
-def flatten_items(responses: DataFrame, json_col: str = "item_json", depth: int = DEPTH) -> DataFrame:
-    """All items of each response, one row each: user_id, response_id, path (link ids from the root), link_id, ordinal (depth first), is_leaf, answers, deeper.
-
-    The recursion is unrolled to ``depth`` levels of explode, which stay in one stage and
-    have no limit of rows; ``deeper`` is true for an item whose children were cut off.
-    """
-    level = responses.select(
-        "user_id",
-        F.col("id").alias("response_id"),
-        F.try_parse_json(F.col(json_col)).alias("items"),
-        F.expr("CAST(array() AS array<string>)").alias("path"),
-        F.expr("CAST(array() AS array<int>)").alias("order"),
-    )
-    out = None
-    for k in range(depth):
-        here = level.select(
-            "user_id",
-            "response_id",
-            F.posexplode(F.expr("try_variant_get(items, '$', 'array<variant>')")).alias("pos", "item"),
-            "path",
-            "order",
-        ).select(
-            "user_id",
-            "response_id",
-            F.array_append("path", F.expr("try_variant_get(item, '$.linkId', 'string')")).alias("path"),
-            F.array_append("order", F.col("pos")).alias("order"),
-            F.expr("try_variant_get(item, '$.answer', 'array<variant>')").alias("answers"),
-            F.expr("try_variant_get(item, '$.item', 'variant')").alias("items"),
-        )
-        kids = F.coalesce(F.size(F.expr("try_variant_get(items, '$', 'array<variant>')")), F.lit(0)) > 0
-        rows = here.select("user_id", "response_id", "path", "order", "answers", (~kids).alias("is_leaf"), (kids & F.lit(k == depth - 1)).alias("deeper"))
-        out = rows if out is None else out.unionByName(rows)
-        level = here.where(kids)
-    return out.withColumn("link_id", F.element_at("path", -1))
+def _walked(text: str | None) -> Iterator[tuple[list[str | None], list[int], str | None, bool]]:
+    """path, order, answers (JSON) and is_leaf of each item of a JSON array, depth first. Nothing for a text that isn't one."""
+    try:
+        roots = json.loads(text or "null")
+    except ValueError:
+        return
+    todo = [([], [], roots, len(roots) - 1)] if isinstance(roots, list) else []
+    todo = [(path, order, items, i) for path, order, items, n in todo for i in range(n, -1, -1)]
+    while todo:
+        path, order, items, i = todo.pop()
+        item = items[i] if isinstance(items[i], dict) else {}
+        link, given, inner = item.get("linkId"), item.get("answer"), item.get("item")
+        path = [*path, link if link is None or isinstance(link, str) else json.dumps(link)]
+        order = [*order, i]
+        inner = inner if isinstance(inner, list) else []
+        yield path, order, json.dumps(given) if isinstance(given, list) else None, not inner
+        todo += [(path, order, inner, k) for k in range(len(inner) - 1, -1, -1)]
+
+
+def flatten_items(responses: DataFrame, json_col: str = "item_json") -> DataFrame:
+    """All items of each response, however deep, one row each: user_id, response_id, path (link ids from the root), order (positions from the root;
+    sorts depth first), answers (array of variant), is_leaf, link_id. One scan; each response is parsed once and walked in its task."""
+    rows = responses.select("user_id", F.col("id").alias("response_id"), F.col(json_col).alias("items"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"user_id {kinds['user_id']}, response_id {kinds['response_id']}, path array<string>, order array<int>, answers string, is_leaf boolean"
+
+    def run(batches):
+        for batch in batches:
+            at, out = [], []
+            for i, text in enumerate(batch.column("items").to_pylist()):
+                found = list(_walked(text))
+                at += [i] * len(found)
+                out += found
+            cols = list(zip(*out, strict=True)) or [[]] * 4
+            types = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.string(), pa.bool_())
+            ids = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("user_id", "response_id")]
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["user_id", "response_id", "path", "order", "answers", "is_leaf"])
+
+    given = F.expr("try_variant_get(try_parse_json(answers), '$', 'array<variant>')")
+    return rows.mapInArrow(run, schema).select("user_id", "response_id", "path", "order", given.alias("answers"), "is_leaf", F.element_at("path", -1).alias("link_id"))
 
 
 def answers(items: DataFrame) -> DataFrame:

@@ -19,15 +19,15 @@ def debounced(versions: DataFrame, content: Column, key: str = "user_id", time:
     """The snapshots that are left of a document's versions.
 
     A version equal to the one before it is no change. A changed version within
-    ``window_ms`` (inclusive) of the last snapshot replaces it and moves its time; a later
+    ``window_ms`` whole milliseconds (inclusive) of the last snapshot replaces it and moves its time; a later
     one is a new snapshot. As the last snapshot always holds the last changed version, this
     is: drop equal neighbours, cut where the gap is longer than the window, keep the last of
     each run. One sort by key, no state.
     """
     by = Window.partitionBy(key).orderBy(time, order)
     changed = versions.withColumn("_c", content).withColumn("_before", F.lag("_c").over(by)).withColumn("_n", F.row_number().over(by)).where((F.col("_n") == 1) | ~F.col("_c").eqNullSafe(F.col("_before")))
-    gap = F.unix_micros(time) - F.unix_micros(F.lag(time).over(by))
-    runs = changed.withColumn("_run", F.sum(F.when(gap > window_ms * 1000, 1).otherwise(0)).over(by))
+    gap = F.unix_millis(time) - F.unix_millis(F.lag(time).over(by))
+    runs = changed.withColumn("_run", F.sum(F.when(gap > window_ms, 1).otherwise(0)).over(by))
     last = Window.partitionBy(key, "_run").orderBy(F.desc(time), F.desc(order))
     return runs.withColumn("_l", F.row_number().over(last)).where("_l = 1").drop("_c", "_before", "_n", "_run", "_l")
 

@@ -11,7 +11,9 @@ from strandline.functions import scalars, vocab
 from strandline.operators import accounts, deletion, delivery, nudges, observation, questionnaire, reports, snapshots
 from strandline.plans import standins as S
 from strandline.plans.standins import ANSWERS_SQL, BACKLOG_SQL, HISTORY_SQL, USERS_SQL, now, stamp
+from strandline.sources import readers, writers
 from strandline.sources.readers import collections_of, table
+from strandline.streaming import jobs
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -106,7 +108,7 @@ def leaf_items(spark, sf_dir):
     flat = F.to_json(F.struct(F.col("l_linenumber").cast("string").alias("linkId"), answer.alias("answer"), F.expr("CAST(array() AS array<string>)").alias("item")))
     deep = F.to_json(F.struct(F.lit("group").alias("linkId"), F.array(F.struct(F.lit("inner").alias("linkId"), F.array(F.struct(F.lit("nested-7").alias("linkId"), answer.alias("answer"))).alias("item"))).alias("item")))
     built = line.select("l_orderkey", F.when(F.col("l_linenumber") == 7, deep).otherwise(flat).alias("j")).groupBy(F.col("l_orderkey").alias("id")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("item_json"))
-    items = questionnaire.flatten_items(built.withColumn("user_id", F.lit("u")), depth=4)
+    items = questionnaire.flatten_items(built.withColumn("user_id", F.lit("u")))
     rows = questionnaire.answers(items)
     return questionnaire.unique_leaves(rows, ("response_id",)).select("response_id", "link_id", "value_boolean")
 
@@ -196,11 +198,11 @@ def recent_bodies(spark, sf_dir):
     return nudges.recent_bodies(S.backlog(spark, sf_dir), S.history(spark, sf_dir), before, "posttrial").select("user_id", F.array_join("bodies", "|").alias("bodies"))
 
 
-@query("""WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations WHERE turn < 5)
+@query("""WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS r FROM conversations)
 SELECT conv_id, string_agg(coalesce(text, ''), '|' ORDER BY r DESC) AS texts FROM t WHERE r <= 3 GROUP BY conv_id""")
 def last_turns(spark, sf_dir):
-    """The last three turns before the fifth, oldest first."""
-    turns = table(spark, sf_dir, "conversations").where("turn < 5")
+    """The last three turns of each conversation, oldest first."""
+    turns = table(spark, sf_dir, "conversations")
     top = F.slice(F.sort_array(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))), asc=False), 1, 3)
     return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.reverse(top), lambda x: x["text"]), "|").alias("texts"))
 
@@ -351,7 +353,14 @@ def batch_pack_count(spark, sf_dir):
     return accounts.batch_numbers(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", ["o_orderkey"], 4)
 
 
-@query()
+_FULL = "p.n >= 5 OR p.b + o.size > 200000"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT o_custkey, o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders),
+p AS (SELECT o_custkey, o_orderkey, size, rn, 1 AS n, size AS b, CAST(0 AS BIGINT) AS batch FROM o WHERE rn = 1
+  UNION ALL SELECT o.o_custkey, o.o_orderkey, o.size, o.rn, CASE WHEN {_FULL} THEN 1 ELSE p.n + 1 END, CASE WHEN {_FULL} THEN o.size ELSE p.b + o.size END, CASE WHEN {_FULL} THEN p.batch + 1 ELSE p.batch END
+  FROM p JOIN o ON o.o_custkey = p.o_custkey AND o.rn = p.rn + 1)
+SELECT o_custkey, o_orderkey, size, batch FROM p""")
 def batch_pack_bytes(spark, sf_dir):
     """Rows of a user in batches of at most 5 rows and 200,000 in price."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("long").alias("size"))
@@ -537,7 +546,7 @@ def personal_context(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         k.alias("user_id"), F.col("o_orderdate").alias("dateOfBirth"), F.when(k % 3 == 0, F.create_map(F.lit("heartFailure"), F.lit("1"), F.lit("diabetes"), F.lit("1"), F.lit("hypertension"), F.lit("1"))).when(k % 3 == 1, F.create_map(F.lit("hypertension"), F.lit("1"))).alias("comorbidities"),
         F.when(k % 4 == 0, "B").when(k % 4 == 1, "c").when(k % 4 == 2, "f").otherwise("z").alias("stageOfChange"), F.when(k % 5 == 0, "vocationalTraining").when(k % 5 == 1, "master").when(k % 5 == 3, "associate").alias("educationUS"), F.when(k % 5 <= 2, "gradeSchool").alias("educationUK"),
-        F.when(k % 6 == 0, "own words").alias("genderIdentity"), (k % 7).cast("int").alias("mhcGenderIdentity"), F.when(k % 2 == 0, "es").when(k % 4 == 1, "de").alias("userLanguage"),
+        F.when(k % 6 == 0, "own words").alias("genderIdentity"), (k % 7).cast("int").alias("genderCode"), F.when(k % 2 == 0, "es").when(k % 4 == 1, "de").alias("userLanguage"),
     )
     parts = nudges.personal_context(F.to_timestamp(F.lit("2044-03-07 08:00:00")))
     return rows.select("user_id", *(c.cast("int").alias(n) if n == "age" else c.alias(n) for n, c in parts.items()))
@@ -568,10 +577,10 @@ def heart_rate_series(spark, sf_dir):
     return reports.heart_rate_series(S.users(spark, sf_dir), [1, 3, 0], now()).select("user_id", "value", stamp(F.col("date")).alias("at"))
 
 
-@query("SELECT DISTINCT event_type AS collection FROM events WHERE user_id = 7")
+@query("SELECT DISTINCT user_id, event_type AS collection FROM events")
 def child_collections(spark, sf_dir):
-    """The collections that one user has."""
-    return collections_of(table(spark, sf_dir, "events").withColumnRenamed("event_type", "collection"), 7)
+    """The collections that each user has."""
+    return collections_of(table(spark, sf_dir, "events").withColumnRenamed("event_type", "collection"))
 
 
 @query("SELECT count(*) > 0 AS all_there FROM nation HAVING bool_and(n_regionkey IN (SELECT r_regionkey FROM region))")
@@ -589,3 +598,214 @@ def enroll_absent(spark, sf_dir):
     requests = people.select("user_id").unionByName(people.select("user_id"))
     fresh = accounts.enroll(people.where("user_id % 5 <> 0"), requests, now(), F.col("user_id") % 3)
     return fresh.select("user_id", F.col("participantGroup").alias("group"))
+
+
+# --- sources and sinks ---
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, 'customers/' || c_custkey AS path, c_name AS name, c_mktsegment AS segment FROM customer")
+def typed_envelope(spark, sf_dir):
+    """Records read by a schema that names some of their fields, each with its id and path."""
+    rows = readers.typed(spark, f"{sf_dir}/customer.parquet", "c_custkey bigint, c_name string, c_mktsegment string")
+    key = F.col("c_custkey").cast("string")
+    return readers.with_envelope(rows.withColumn("id", key), "id", F.concat(F.lit("customers/"), key)).select("id", "path", F.col("content.c_name").alias("name"), F.col("content.c_mktsegment").alias("segment"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 7")
+def point_lookup(spark, sf_dir):
+    """The record of one key; that it is one is the operator's feature."""
+    return readers.record(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", 7)
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS user_id, 'HealthObservations_StepIdentifier' AS collection, CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events WHERE event_id % 7 <> 0 AND user_id % 5 <> 0
+UNION ALL SELECT CAST(user_id AS VARCHAR), 'SensorKitObservations_wrist', CAST(event_id AS VARCHAR), event_type FROM events WHERE event_id % 7 <> 0 AND user_id % 5 = 0""")
+def archive_samples(spark, sf_dir):
+    """Events of a user as a zstd archive of JSON records, read again; every seventh record has a number as id and isn't valid."""
+    e = table(spark, sf_dir, "events")
+    key = F.col("event_id").cast("string")
+    record = F.when(F.col("event_id") % 7 == 0, F.to_json(F.struct(F.col("event_id").alias("id")))).otherwise(F.to_json(F.struct(key.alias("id"), F.col("event_type").alias("kind"))))
+    text = F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]"))
+    name = F.when(F.col("user_id") % 5 == 0, "com.apple.SensorKit.wrist_AB-12.json.zstd").otherwise("StepIdentifier.json.zstd")
+    files = e.groupBy("user_id").agg(text.alias("text")).select(F.concat(F.lit("users/"), F.col("user_id").cast("string"), F.lit("/liveHealthSamples/"), name).alias("path"), readers.compressed(F.col("text")).alias("content"))
+    found = readers.archive_samples(readers.archives(files))
+    return found.select("user_id", "collection", "id", F.get_json_object("json", "$.kind").alias("kind"))
+
+
+@query("""SELECT CASE user_id % 5 WHEN 0 THEN 'bad_file' WHEN 1 THEN 'not_an_array' WHEN 2 THEN 'empty' WHEN 3 THEN 'unknown_name' ELSE 'ok' END AS status, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1""")
+def archive_status(spark, sf_dir):
+    """What becomes of archives that can't be read, hold no array, no row, or have a name of no collection."""
+    k = F.col("user_id") % 5
+    text = F.when(k == 1, '{"id": "x"}').when(k == 2, "[]").otherwise('[{"id": "x"}]')
+    content = F.when(k == 0, F.encode(F.lit("no zstd"), "utf-8")).otherwise(readers.compressed(text))
+    name = F.when(k == 3, "plain.json.zstd").otherwise("StepIdentifier.json.zstd")
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    files = users.select(F.concat(F.lit("users/"), F.col("user_id").cast("string"), F.lit("/liveHealthSamples/"), name).alias("path"), content.alias("content"))
+    return readers.archives(files).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("SELECT r_regionkey AS k, r_name AS name FROM region")
+def json_files(spark, sf_dir):
+    """A table written as JSON, read again by a schema."""
+    at = writers.scratch(spark, "json")
+    writers.json_lines(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"), F.lit(1).alias("more")), at)
+    return readers.typed(spark, at, "k bigint, name string", "json")
+
+
+@query("SELECT n_nationkey AS k, n_name || ', \"x\"' || chr(10) || 'y' AS note FROM nation")
+def csv_files(spark, sf_dir):
+    """Texts with quotes, commas and line ends through a CSV file."""
+    at = writers.scratch(spark, "csv")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.concat("n_name", F.lit(', "x"\ny')).alias("note"))
+    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(at)
+    return readers.csv_rows(spark, at).select(F.col("k").cast("long").alias("k"), "note")
+
+
+@query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN 'new' ELSE 'old' END AS state, o_orderstatus FROM orders")
+def replaced_collection(spark, sf_dir):
+    """One collection of a stored table is replaced whole; the others stay as they were."""
+    at = writers.scratch(spark, "orders")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.lit("old").alias("state"), "o_orderstatus")
+    writers.replace_partitions(rows, at, "o_orderstatus")
+    writers.replace_partitions(rows.where("o_orderstatus = 'O'").withColumn("state", F.lit("new")), at, "o_orderstatus")
+    return spark.read.parquet(at)
+
+
+@query("SELECT o_orderkey, i AS key, CASE i WHEN 0 THEN o_orderstatus ELSE o_orderpriority END AS value FROM orders, (SELECT unnest(range(2)) AS i)")
+def seeded_by_position(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.array("o_orderstatus", "o_orderpriority").alias("entries"))
+    return rows.select("o_orderkey", F.posexplode("entries").alias("key", "value")).select("o_orderkey", F.col("key").cast("long").alias("key"), "value")
+
+
+@query("SELECT c_custkey, k AS key, CASE k WHEN 'name' THEN c_name ELSE c_mktsegment END AS value FROM customer, (VALUES ('name'), ('segment')) t(k) WHERE CASE k WHEN 'name' THEN c_name ELSE c_mktsegment END IS NOT NULL AND (k = 'name' OR c_custkey % 3 <> 0)")
+def content_without_keys(spark, sf_dir):
+    """Records as maps without a volatile key and without nulls."""
+    content = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")), F.lit("lastActive"), F.lit("now"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", snapshots.without_keys(content, ["lastActive"]).alias("m"))
+    return rows.select("c_custkey", F.explode("m").alias("key", "value"))
+
+
+# --- requests, observations, formats ---
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 OR o_custkey % 7 = 0 OR o_orderkey % 4 = 0 OR o_orderkey % 9 = 0 OR o_orderkey % 5 > 3 THEN 'invalid-argument' END AS error FROM orders""")
+def deletion_requests(spark, sf_dir):
+    """Requests without user or collection, without an id, with an empty one, or with too many."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    ids = F.when(k % 4 == 0, F.array().cast("array<string>")).when(k % 9 == 0, F.array(F.lit("a"), F.lit(""))).otherwise(F.transform(F.sequence(F.lit(0), (k % 5).cast("int")), lambda i: i.cast("string")))
+    error = deletion.request_error(F.when(c % 5 != 0, "u"), F.when(c % 7 == 0, "").otherwise("HealthObservations_Steps"), ids, 4)
+    return table(spark, sf_dir, "orders").select("o_orderkey", error.alias("error"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 6 > 1 AND event_id % 6 <> 5 THEN CAST(user_id AS VARCHAR) END AS owner FROM events""")
+def queue_paths(spark, sf_dir):
+    k, u = F.col("event_id") % 6, F.col("user_id").cast("string")
+    path = F.when(k == 0, F.concat(F.lit("users/"), u, F.lit("/backlog/x"))).when(k == 1, F.concat(F.lit("users/"), u, F.lit("/pendingHealthSampleDeletions"))).when(k == 5, F.lit("users//pendingHealthSampleDeletions/x"))
+    path = path.otherwise(F.concat(F.lit("users/"), u, F.lit("/pendingHealthSampleDeletions/x")))
+    return table(spark, sf_dir, "events").select("event_id", deletion.path_owner(path).alias("owner"))
+
+
+_CODES = {"view": "8867-4", "click": "29463-7", "purchase": "85354-9"}
+
+
+@query(f"""SELECT event_id, event_type = 'view' AS by_code, event_type IN ('view', 'click') AND event_id % 2 = 0 AS by_version, CASE event_type WHEN 'view' THEN '8867-4' WHEN 'click' THEN '29463-7' WHEN 'purchase' THEN '85354-9' END AS code,
+  '{vocab.UCUM}' AS unit_system, 'beats/minute' AS unit, value FROM events""")
+def coded_observations(spark, sf_dir):
+    """Events as plain observations, and whether they have a code, or any code of a version."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").alias("date"), "value", scalars.lookup(F.col("event_type"), _CODES).alias("code"), "event_type")
+    made = observation.simple_observation(rows.withColumn("user_id", F.struct("event_id", "event_type")), "bpm", {"8867-4": "Heart rate"})
+    c = F.col("user_id.event_type")
+    versioned = F.struct(F.transform("code.coding", lambda x: F.struct(x["system"].alias("system"), F.when(F.col("user_id.event_id") % 2 == 0, "2").alias("version"), F.when(c != "purchase", x["code"]).alias("code"))).alias("coding"))
+    by_version = observation.has_coding(versioned, vocab.LOINC, version="2") & F.exists(versioned["coding"], lambda x: x["code"].isNotNull())
+    return made.select(
+        F.col("user_id.event_id").alias("event_id"), observation.has_coding(F.col("code"), vocab.LOINC, "8867-4").alias("by_code"), F.coalesce(by_version, F.lit(False)).alias("by_version"),
+        F.col("code.coding")[0]["code"].alias("code"), F.col("valueQuantity.system").alias("unit_system"), F.col("valueQuantity.unit").alias("unit"), F.col("valueQuantity.value").alias("value"),
+    )
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'effectivePeriod' WHEN 1 THEN 'effectiveDateTime' WHEN 2 THEN 'effectiveInstant' END AS effective, CASE WHEN event_id % 2 = 0 THEN event_type END AS status, event_id % 4 = 0 AS has_period FROM events""")
+def encoded_observations(spark, sf_dir):
+    """Observations as JSON: fields without a value are left out, and of three effective times one is there."""
+    k, ts = F.col("event_id") % 4, F.col("ts")
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", F.col("event_id").alias("id"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("status"), F.when(k == 0, F.struct(ts.alias("start"), ts.alias("end"))).alias("effectivePeriod"),
+        F.when(k <= 1, ts).alias("effectiveDateTime"), F.when(k <= 2, ts).alias("effectiveInstant"),
+    )
+    keys = F.json_object_keys("json")
+    named = F.filter(keys, lambda x: x.startswith("effective"))
+    made = observation.encoded(rows).select("id", "json", F.array_join(named, ",").alias("e"))
+    return made.select(F.col("id").alias("event_id"), F.nullif("e", F.lit("")).alias("effective"), F.get_json_object("json", "$.status").alias("status"), F.array_contains(F.json_object_keys("json"), "effectivePeriod").alias("has_period"))
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(CAST(epoch_us(ts) / 1000 AS BIGINT) % 1000 AS VARCHAR), 3, '0') || 'Z' AS iso, CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)""")
+def iso_times(spark, sf_dir):
+    """Times as ISO texts and back; a text that is no time gives null."""
+    rows = table(spark, sf_dir, "events").select("event_id", scalars.iso_time(F.date_trunc("second", "ts")).alias("iso"))
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("soon")).otherwise(F.col("iso"))
+    return rows.select("event_id", "iso", stamp(scalars.parse_time(text)).alias("parsed"))
+
+
+@query(f"WITH {USERS_SQL} SELECT user_id, strftime(timezone(coalesce(zone, 'UTC'), timezone('UTC', {NOW_SQL})), '%b %-d, %Y, %-I:%M:%S %p') AS at FROM users WHERE user_id % 6 <> 0 UNION ALL SELECT user_id, '2024-03-07T08:00:00.000Z' FROM users WHERE user_id % 6 = 0")
+def human_times(spark, sf_dir):
+    """Local times for people; a zone that no one knows gives the ISO form."""
+    zone = F.when(F.col("user_id") % 6 == 0, F.lit("Mars/Base")).otherwise(F.col("timeZone"))
+    return S.users(spark, sf_dir).select("user_id", scalars.human_time(now(), zone).alias("at"))
+
+
+@query("SELECT c_custkey AS user_id, CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS UBIGINT) % 2 + 1 AS BIGINT) AS grp FROM customer")
+def random_groups(spark, sf_dir):
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(k.alias("user_id"), scalars.random_group(k).alias("grp"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'NOT_FOUND' WHEN 1 THEN 'UNAVAILABLE' WHEN 2 THEN 'GRPC_13' WHEN 3 THEN 'aborted' WHEN 4 THEN 'UNKNOWN_ERROR' ELSE 'ALREADY_EXISTS' END AS error FROM orders""")
+def error_names(spark, sf_dir):
+    k = F.col("o_orderkey") % 6
+    code = F.when(k == 0, "5").when(k == 1, "unavailable").when(k == 2, "13").when(k == 3, "aborted").when(k == 5, "6")
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.error_name(code).alias("error"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 7 END AS messages, CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END AS first_title FROM orders")
+def generator_replies(spark, sf_dir):
+    """Replies of a generator: seven messages with title and body, or six, or one without a title, or no JSON."""
+    k = F.col("o_orderkey") % 4
+    message = F.struct(F.col("o_orderpriority").alias("title"), F.lit("body").alias("body"))
+    no_title = F.struct(F.lit(" ").alias("title"), F.lit("body").alias("body"))
+    reply = F.when(k == 0, F.to_json(F.array_repeat(message, 7))).when(k == 1, F.to_json(F.array_repeat(message, 6))).when(k == 2, F.to_json(F.array_append(F.array_repeat(message, 6), no_title))).otherwise(F.lit("Sorry, no."))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", nudges.valid_reply(reply).alias("r"))
+    return rows.select("o_orderkey", F.when(F.col("r").isNotNull(), F.size("r")).alias("messages"), F.col("r")[0]["title"].alias("first_title"))
+
+
+@query(f"""WITH {USERS_SQL}, {BACKLOG_SQL}, {HISTORY_SQL}, {_DUE_SQL}, s AS (SELECT user_id, id, CASE WHEN coalesce(token, '') <> '' THEN 'sent' ELSE 'failed' END AS status FROM due)
+SELECT 'history' AS place, user_id, id, status FROM s UNION ALL SELECT 'history', user_id, id, 'old' FROM history WHERE (user_id, id) NOT IN (SELECT user_id, id FROM s)
+UNION ALL SELECT 'backlog', user_id, id, NULL FROM backlog WHERE id NOT IN (SELECT id FROM due)""")
+def repeated_delivery(spark, sf_dir):
+    """A delivery that is run again after it broke off before the backlog was written leaves each row in one place."""
+    people, old = S.users(spark, sf_dir), S.history(spark, sf_dir).withColumn("status", F.lit("old"))
+    rows = S.backlog(spark, sf_dir)
+    first, _ = delivery.delivered(rows, old, people, now())
+    again, left = delivery.delivered(rows, first, people, now())
+    return again.select(F.lit("history").alias("place"), "user_id", "id", "status").unionByName(left.select(F.lit("backlog").alias("place"), "user_id", "id", F.lit(None).cast("string").alias("status")))
+
+
+# --- streams, replayed from the stored tables ---
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS path, CASE o_orderpriority WHEN '1-URGENT' THEN 4 WHEN '2-HIGH' THEN 3 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 1 END AS score FROM orders WHERE o_orderpriority <> '5-LOW'""")
+def streamed_scores(spark, sf_dir):
+    """Orders as a change feed, scored batch by batch."""
+    at = writers.scratch(spark, "scores")
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    feed = jobs.replayed(spark, sf_dir, "orders", schema).select(F.col("o_orderkey").cast("string").alias("path"), F.col("o_orderpriority").alias("after"))
+    jobs.score_feed(feed, lambda df: questionnaire.nicotine_score(df, F.col("after"), PRIORITY_SCORE), f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("path", "score")
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def streamed_counts(spark, sf_dir):
+    """Counts by hour and type of a stream, whole at its end."""
+    at = writers.scratch(spark, "counts")
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    feed = jobs.replayed(spark, sf_dir, "events", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = jobs.windowed_counts(feed, "ts", "event_type")
+    jobs.last_state(counts, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{at}/out").select(stamp(F.col("window.start")).alias("hour"), "event_type", "n")

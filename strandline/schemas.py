@@ -4,7 +4,7 @@ USERS = (
     "user_id string, disabled boolean, hasWithdrawnFromStudy boolean, mostRecentOnboardingStep string, participantGroup int, didOptInToTrial boolean, "
     "triggerNudgeGeneration boolean, extendedActivityNudgesOptIn boolean, posttrialWelcomeNudgeScheduled boolean, timeZone string, preferredNotificationTime string, "
     "userLanguage string, language string, dateOfBirth timestamp, dateOfEnrollment timestamp, lastActiveDate timestamp, lastUploadDate timestamp, "
-    "comorbidities map<string,string>, stageOfChange string, educationUS string, educationUK string, genderIdentity string, mhcGenderIdentity int, "
+    "comorbidities map<string,string>, stageOfChange string, educationUS string, educationUK string, genderIdentity string, genderCode int, "
     "preferredWorkoutTypes string, fcmToken string, toBeDeleted boolean, deletionRequest struct<requestedAt:timestamp,requestedBy:string,status:string>, "
     "studyEnrollmentHistory array<struct<action:string,timestamp:timestamp,requestedBy:string>>"
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,21 @@ def record(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == value).limit(1)
 
 
-def collections_of(observations: DataFrame, user_id) -> DataFrame:
-    """Names of the collections that a user has."""
-    return observations.where(F.col("user_id") == user_id).select("collection").distinct()
+def collections_of(observations: DataFrame) -> DataFrame:
+    """user_id and collection: names of the collections that each user has. A filter on user_id reaches the scan."""
+    return observations.select("user_id", "collection").distinct()
+
+
+def compressed(text: Column) -> Column:
+    """Texts as zstd archives."""
+
+    def pack(contents: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import pyarrow as pa
+
+        for series in contents:
+            yield series.map(lambda x: None if x is None else pa.compress(x.encode(), codec="zstd", asbytes=True))
+
+    return F.pandas_udf(pack, T.BinaryType())(text)
 
 
 def decompress(contents: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, which only a session in one process may leave unset."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="strandline-")
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def observations(df: DataFrame, path: str, mode: str = "append") -> None:
-    """A folder for each collection, so that readers of one see nothing of the others; sorted by time for skipping."""
-    df.repartition("collection", "user_id").sortWithinPartitions("collection", "issued").write.mode(mode).partitionBy("collection").parquet(path)
+    """A folder for each collection, so that readers of one see nothing of the others; sorted by time for skipping. Dealt by id too, so that no user's rows are one task's."""
+    df.repartition("collection", F.pmod(F.xxhash64("user_id", "id"), F.lit(64))).sortWithinPartitions("collection", "issued").write.mode(mode).partitionBy("collection").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -17,7 +31,7 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
 
 
 def swap(df: DataFrame, path: str, version: int) -> str:
-    """Writes a new version of a table beside the old one; a reader of ``path`` never sees half of it."""
+    """Writes a new version of a table beside the old ones and returns its folder; readers take that folder, which is complete once this returns."""
     at = f"{path}/v={version}"
     df.write.mode("overwrite").parquet(at)
     return at

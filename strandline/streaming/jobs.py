@@ -20,6 +20,16 @@ def changes(spark: SparkSession, path: str, schema: str, fmt: str = "json", per_
     return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).load(path)
 
 
+def replayed(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """A stored Parquet table as a feed."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def last_state(result: DataFrame, sink: str, checkpoint: str):
+    """Writes the whole result of an aggregation after each epoch in place of the one before."""
+    return result.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(sink)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def each_batch(feed: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None):
     """Runs a batch transform over each epoch; ``work`` must be idempotent by key, as an epoch may be run again."""
     return feed.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
@@ -36,7 +46,7 @@ def score_feed(feed: DataFrame, score: Callable[[DataFrame], DataFrame], sink: s
 
 
 def once_each(feed: DataFrame, keys: list[str], time: str, within: str = "48 hours") -> DataFrame:
-    """The first row of each key within a watermark: enqueueing again changes nothing."""
+    """The first row of each key within a watermark: enqueueing again within that time changes nothing. A later repeat comes through; ``deletion.enqueue`` against the stored queue drops it."""
     return feed.withWatermark(time, within).dropDuplicatesWithinWatermark(keys)
 
 

@@ -41,18 +41,3 @@ def test_same_as_sql(spark, data, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
-
-
-def test_packed_batches_follow_a_plain_loop(spark, data):
-    got = {(r["o_custkey"], r["o_orderkey"]): r["batch"] for r in contract.queries()["batch_pack_bytes"](spark, data).collect()}
-    by_user: dict = {}
-    for (user, key), _ in got.items():
-        by_user.setdefault(user, []).append(key)
-    sizes = {r[0]: int(r[1]) for r in spark.read.parquet(f"{data}/orders.parquet").select("o_orderkey", "o_totalprice").collect()}
-    for user, keys in by_user.items():
-        batch = n = total = 0
-        for k in sorted(keys):
-            if n >= 5 or n and total + sizes[k] > 200_000:
-                batch, n, total = batch + 1, 0, 0
-            n, total = n + 1, total + sizes[k]
-            assert got[user, k] == batch

@@ -51,8 +51,20 @@ def test_nested_items_paths_and_leaves(spark):
     rows = {tuple(x["path"]): x["is_leaf"] for x in questionnaire.flatten_items(r).collect()}
     assert rows == {("a",): False, ("a", "b"): True, ("a", "c"): False, ("a", "c", "d"): True, ("e",): True}
     assert questionnaire.items_at(questionnaire.flatten_items(r), ["a", "c", "d"]).count() == 1
-    assert not questionnaire.flatten_items(r).where("deeper").count()
-    assert questionnaire.flatten_items(r, depth=2).where("deeper").count() == 1
+    assert [x["link_id"] for x in questionnaire.flatten_items(r).orderBy("order").collect()] == ["a", "b", "c", "d", "e"]
+
+
+def test_items_at_any_depth(spark):
+    deep = item("leaf", valueInteger=4)
+    for k in range(40):
+        deep = {"linkId": f"g{k}", "item": [deep]}
+    r = response(spark, [deep])
+    rows = questionnaire.flatten_items(r).orderBy("order").collect()
+    assert [x["link_id"] for x in rows] == [*(f"g{k}" for k in range(39, -1, -1)), "leaf"] and [x["is_leaf"] for x in rows] == [False] * 40 + [True]
+    assert questionnaire.answers(questionnaire.flatten_items(r)).first()["value_integer"] == 4
+    odd = spark.createDataFrame([("u", "1", None), ("u", "2", "no json"), ("u", "3", '{"linkId": "x"}'), ("u", "4", '[1, {"linkId": 5}]')], "user_id string, id string, item_json string")
+    assert sorted((x["response_id"], x["link_id"]) for x in questionnaire.flatten_items(odd).collect() if x["link_id"]) == [("4", "5")]
+    assert questionnaire.flatten_items(odd).count() == 2
 
 
 @pytest.mark.parametrize("codes,total", [(["all-of-the-time"] * 5, 25), (["at-no-time"] * 5, 0), (["all-of-the-time", "nonsense", "some-of-the-time", "most-of-the-time", "at-no-time"], 10), (["all-of-the-time"] * 4, None)])
