@@ -82,6 +82,55 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of op2_url_filter that SQL can express: host, path, rule, and the verdict where a rule fits."""
+    found = op2_url_filter(spark, sf_dir)
+    return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
+
+
+def _rule_sql() -> str:
+    """A CASE over the rules, the longest first."""
+    cases = []
+    for _, rule in sorted(URL_RULES, key=lambda r: -len(r[1])):
+        host, _, rest = rule.partition("/")
+        cases.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{rest}') THEN '{rule}'")
+    return "CASE " + " ".join(cases) + " END"
+
+
+URL_RULES_SQL = f"""
+WITH p AS (
+  SELECT page_id, coalesce(CASE WHEN url LIKE '%://%' THEN regexp_extract(url[strpos(url, '://') + 3:], '^([^/?#]*)([^?#]*)', ['host', 'path']) END, {{'host': '', 'path': ''}}) AS u FROM pages
+), h AS (
+  SELECT page_id, translate(u.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, u.path AS path FROM p
+), r AS (SELECT *, {_rule_sql()} AS rule FROM h)
+SELECT page_id, host, path, rule, CASE {" ".join(f"WHEN rule = '{rule}' THEN '{action}'" for action, rule in URL_RULES)} END AS verdict FROM r
+"""
+
+
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of op4_matroska that SQL can express: the payload as it is read back."""
+    return op4_matroska(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+MEDIA_PAYLOADS_SQL = """
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT *, octet_length(b) AS n_bytes, greatest(576, CAST(ceil(octet_length(b) / 576.0) AS BIGINT) * 576) AS payload_bytes FROM t)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha256(b || unhex(repeat('FF', CAST(payload_bytes - n_bytes AS BIGINT)))) AS payload_sha256 FROM n
+"""
+
+
+def language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of one language in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.spans(docs, langid.fit(docs))
+
+
+def offending_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentences of every document that score one half or more."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.offending(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict:
     return {
         "op1_dart_minhash": op1_dart_minhash,
@@ -94,8 +143,12 @@ def queries() -> dict:
         "op8_html_text": op8_html_text,
         "op9_bm25_topk": op9_bm25_topk,
         "op10_toxicity": op10_toxicity,
+        "url_rules": url_rules,
+        "media_payloads": media_payloads,
+        "language_spans": language_spans,
+        "offending_sentences": offending_sentences,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_format": OP7_SQL}
+    return {"op7_chat_format": OP7_SQL, "url_rules": URL_RULES_SQL, "media_payloads": MEDIA_PAYLOADS_SQL}

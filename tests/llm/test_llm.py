@@ -518,15 +518,17 @@ def test_chat_texts_hold_no_control_string(spark):
     assert not any(c in inner for c in (t.start, t.role_end, t.joint, t.end, *t.foreign))
 
 
-def test_chat_equals_sql(spark, data):
+@pytest.mark.parametrize("name", sorted(entries.oracle_sql()))
+def test_query_equals_sql(spark, data, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{data}/conversations.parquet')")
-    df = entries.op7_chat_format(spark, data)
-    result = con.execute(entries.OP7_SQL)
+    for t in ("conversations", "pages", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data}/{t}.parquet')")
+    df = entries.queries()[name](spark, data)
+    result = con.execute(entries.oracle_sql()[name])
     names = [d[0] for d in result.description]
-    assert sorted(map(tuple, df.select(*names).collect())) == sorted(result.fetchall())
+    assert sorted(map(str, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(str, result.fetchall()))
 
 
 # --- 8 ---
@@ -770,6 +772,104 @@ def test_noisy_or_of_sentences():
     assert np.allclose(toxicity.noisy_or(model, ["", "mean. ok\nmean mean"]), [p(-2), 1 - (1 - p(1)) * (1 - p(-2)) * (1 - p(4))])
 
 
+# --- all ---
+
+
+def clashing(spark, rows):
+    """Texts in a table whose other columns have names that the operators use inside."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.withColumns({c: F.lit("clash") for c in ("key", "score", "label", "y", "label_id", "text_hash", "tokens", "page_id_", "at", "n", "bands")})
+
+
+def test_empty_tables_and_clashing_columns(spark, languages):
+    rows = [(1, None), (1, ""), (2, "the house"), (2, "the house"), (None, "the house"), (3, "word " * 30_000)]
+    df, none = clashing(spark, rows), clashing(spark, []).where("false")
+    labels = spark.createDataFrame([(2, 1), (3, 0), (None, 1)], "doc_id long, toxic int").withColumn("text", F.lit("clash"))
+    model = toxicity.fit(df, labels)
+    for made in (
+        langid.identify(df, languages), toxicity.score(df, model), htmltext.extract(df.withColumn("url", F.lit("u")), "doc_id", "text"), matroska.stored_texts(df), bpe.round_trip(df, RANKS, public_tokenizers.PATTERN),
+        dartminhash.near_duplicates(df),
+    ):
+        assert made.count() == len(rows)
+    for made in (
+        langid.identify(none, languages), langid.spans(none, languages), langid.keep_identified(none, languages), toxicity.score(none, model), toxicity.offending(none, model), toxicity.keep_clean(none, model),
+        htmltext.extract(none.withColumn("url", F.lit("u")), "doc_id", "text"), packing.pack(none, WORD_FILE), dartminhash.near_duplicates(none),
+    ):
+        assert made.count() == 0
+    assert langid.fit(none.withColumn("lang", F.lit("en"))).langs == [] and not toxicity.fit(none, labels).fitted
+    assert packing.pack(df, WORD_FILE).where("doc_id is null").count() == 1
+
+
+def test_a_hot_id_adds_one_text_to_a_fit(spark):
+    docs = spark.createDataFrame([(7, f"plain text number {i} stupid") for i in range(500)] + [(i + 100, f"plain text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] + [(i + 100, 0) for i in range(50)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.train
+    try:
+        toxicity.train = lambda values, y: (seen.append((len(values), sum(y))), real(values, y))[1]
+        toxicity.fit(docs, labels)
+    finally:
+        toxicity.train = real
+    assert seen[0][1] == 1 and seen[0][0] <= 51
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: None)})
+        sparkContext = type("Context", (), {"master": "spark://somewhere:7077"})
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session)
+
+
+def test_every_pair_of_a_bucket_can_be_checked(spark, docs, texts):
+    """With no least agreement the classes are the same, and near copies are as an exact join has them."""
+    got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicates(docs, agreement=0).collect()}
+    ids = sorted(texts)
+    assert [got[i] for i in ids] == [ids[c] for c in plain_classes([texts[i] for i in ids])]
+
+
+def test_templates_with_twins_in_one_large_bucket(spark):
+    """Over 1,000 different texts of one template, 0.6 to 0.75 alike, with twins at 0.8 or more among them."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(100)]
+    values = []
+    for k in range(1_100):
+        at = int(rng.integers(0, 85))
+        values.append([*base[:at], *(f"own{k}x{j}" for j in range(12)), *base[at + 12 :]])
+    for k in range(40):
+        twin = list(values[k * 7])
+        twin[int(rng.integers(0, 99))] = f"new{k}"
+        values.append(twin)
+    joined = [" ".join(v) for v in values]
+    got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicates(documents(spark, joined)).collect()}
+    bags = [collections.Counter(tuple(v[i : i + 5]) for i in range(len(v) - 4)) for v in values]
+    holders = collections.defaultdict(list)
+    for i, b in enumerate(bags):
+        for s in b:
+            holders[s].append(i)
+    parent = list(range(len(values)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    shared = np.zeros((len(values), len(values)), np.int32)
+    for some in holders.values():
+        shared[np.ix_(some, some)] += 1
+    sizes = np.array([sum(b.values()) for b in bags])
+    for i, j in zip(*np.where(shared >= 0.8 * (sizes[:, None] + sizes[None, :] - shared)), strict=True):
+        if i > j:
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    want = [find(i) for i in range(len(values))]
+    links = [(i, w) for i, w in enumerate(want) if i != w]
+    caught = sum(got[i] == got[w] for i, w in links)
+    assert len(links) >= 40 and caught >= 0.99 * len(links)
+    assert all(want[i] == want[got[i]] for i in got)
+
+
 # --- helpers ---
 
 

@@ -34,3 +34,19 @@ def test_kept_labels(spark):
     kept = {r["toxic"]: r["count"] for r in kept}
     total = {r["toxic"]: r["count"] for r in docs.join(labels, "doc_id").groupBy("toxic").count().collect()}
     assert kept.get(1, 0) < 0.05 * total[1] and kept[0] > 0.98 * total[0]
+
+
+def test_stages_with_odd_rows(spark):
+    """Nulls in any column, empty, repeated and very long texts, and no row at all."""
+    data = "/root/testdata/sf0.01"
+    real = spark.read.parquet(f"{data}/documents.parquet")
+    columns = [f"{c} {k}" for c, k in real.dtypes]
+    base = {"doc_id": 1, "text": "x", "lang": "en", "source": "s", "n_chars": 1}
+    changed = [{"text": None}, {"text": ""}, {"doc_id": None}, {"lang": None}, {"source": None}, {"n_chars": None}, {"text": "word " * 30_000, "doc_id": 2}, {"text": "same text", "doc_id": 3}, {"text": "same text", "doc_id": 3}]
+    rows = [tuple((base | c).get(n) for n in real.columns) for c in changed]
+    odd = spark.createDataFrame(rows, ", ".join(columns))
+    for docs in (real.where("doc_id % 2 = 0").unionByName(odd), real.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, data), name)
+            assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == real.columns
+        assert docs.columns[0] == "doc_id"
