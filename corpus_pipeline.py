@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.llm import dartminhash, langid, packing, toxicity
-from strandline.llm.common import materialize, table
+from strandline.llm.common import discard, materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage; the tables of the others are removed once they are read."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
