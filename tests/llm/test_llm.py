@@ -645,7 +645,7 @@ def plain_search(values, queries, k=10, most=topk.QUERY_TERMS):
     h = {w: int(np.uint64(xxhash.xxh64_intdigest(w)).astype(np.int64)) for w in df}
     out = {}
     for q in queries:
-        weights = {w: c * (topk.K3 + 1) / (c + topk.K3) * topk.idf(n, df[w]) for w, c in bags[q].items() if df[w] > 1}
+        weights = {w: c * (topk.K3 + 1) / (c + topk.K3) * topk.idf(n, df[w]) for w, c in bags[q].items()}
         chosen = sorted(weights, key=lambda w: (-weights[w], h[w]))[:most]
         scored = {}
         for d, b in bags.items():
@@ -694,6 +694,16 @@ def test_search_asks_with_all_terms_of_a_text(spark):
     same_hits(rows, whole)
 
 
+def test_words_of_one_text_alone_are_found_and_scored(spark):
+    values = ["kelp sand wrack", "kelp sand sand dune", "lugworm", *["sand dune"] * 20]
+    rows = topk.search(topk.build(documents(spark, values)), documents(spark, ["wrack", "kelp", "absent", "lugworm dune"]), k=3).collect()
+    got = {q: [r["doc_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] for q in range(4)}
+    assert got[0] == [0] and got[1] == [0, 1] and got[2] == [] and got[3][0] == 2 and len(got[3]) == 3
+    own = topk.search(topk.build(documents(spark, values)), documents(spark, values[:3])).collect()
+    same_hits(own, plain_search(list(enumerate(values)), range(3)))
+    assert {r["query_id"] for r in own} == {0, 1, 2}
+
+
 def plain_scores(shard, weights):
     out = np.zeros(shard.n)
     for i, w in enumerate(weights):
