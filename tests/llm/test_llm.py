@@ -704,6 +704,44 @@ def test_words_of_one_text_alone_are_found_and_scored(spark):
     assert {r["query_id"] for r in own} == {0, 1, 2}
 
 
+def test_search_in_groups_of_queries_and_steps_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 30)
+    monkeypatch.setattr(topk, "GROUP_TERMS", 700)
+    rng = np.random.default_rng(9)
+    values = [" ".join(f"t{int(x)}" for x in rng.zipf(1.3, int(rng.integers(20, 120))) if x < 1500) for _ in range(800)]
+    values[40:52] = [values[0]] * 12  # equal texts in several shards tie
+    df = documents(spark, values).repartition(24)
+    index = topk.build(df)
+    queries = list(range(0, len(values), 20))
+    assert len(index.numbers) > 16
+    same_hits(topk.search(index, df.where("doc_id % 20 = 0")).collect(), plain_search(list(enumerate(values)), queries))
+    few = topk.search(index, df.where("doc_id % 20 = 0"), k=5, most=6).collect()
+    same_hits(few, plain_search(list(enumerate(values)), queries, 5, 6))
+    asked = documents(spark, ["t1 t2 t2", "t3", ""]).withColumn("doc_id", F.lit(7).cast("long"))  # rows of one id
+    whole = topk.search(index, documents(spark, ["t1 t2 t2 t3"])).collect()
+    assert [(r["rank"], r["doc_id"]) for r in topk.search(index, asked).collect()] == [(r["rank"], r["doc_id"]) for r in whole]
+    assert topk.search(index, df.where("false")).count() == topk.search(index, documents(spark, ["absent", None])).count() == 0
+
+
+def test_lists_are_read_in_one_go_where_bounds_leave_none_unread(monkeypatch):
+    rng = np.random.default_rng(4)
+    n, m = 3_000, 300
+    which = [np.flatnonzero(rng.random(m) < 0.03) for _ in range(n)]
+    terms, begins, ats, tfs = topk.invert(which, np.arange(m))
+    lengths = np.array([len(w) for w in which], np.uint32)
+    shard = topk.Shard(float(lengths.mean()), np.arange(n), lengths, terms, begins, ats, tfs)
+    calls, sums = [], topk.Shard._sums
+    monkeypatch.setattr(topk.Shard, "_sums", lambda *x: calls.append(1) or sums(*x))
+    lists = [np.sort(rng.choice(m, 120, replace=False)) for _ in range(400)]
+    none = np.empty(0), np.empty(0, np.int64)
+    for own in lists:
+        plain = plain_scores(shard, np.where(np.isin(np.arange(m), own), 2.0, 0))
+        order = sorted(range(n), key=lambda d: (-plain[d], d))[:10]
+        scores, docs = shard.search(own, np.full(120, 2.0), 10, *none, plain[order[9]] * 0.9)
+        assert docs.tolist() == order and np.array_equal(scores, plain[order])
+    assert len(calls) < 1.3 * len(lists)
+
+
 def plain_scores(shard, weights):
     out = np.zeros(shard.n)
     for i, w in enumerate(weights):
